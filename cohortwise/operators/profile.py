@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,48 +27,66 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part * F.lit(100.0), whole)
 
 
+def numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles, NaN as NULL; an integer column cannot hold NaN and is only cast."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    return df.select(
+        *[
+            (nan_to_null(F.col(c)) if kinds[c] in ("float", "double") else F.col(c).cast("double")).alias(c)
+            for c in columns
+        ]
+    )
+
+
 def summary_statistics(
     df: DataFrame, columns: Sequence[str] | None = None, digits: int = 3, mode: str = "exact", **limits
 ) -> DataFrame:
-    """Count, mean, std, five-number summary, biased skewness and excess kurtosis, zeros and NULLs."""
+    """Count, mean, std, five-number summary, biased skewness and excess kurtosis, zeros and NULLs.
+
+    Means come from the first scan; the second sums powers of the distance to them, which is both
+    stable and small enough to be compiled for many columns at once.
+    """
     columns = list(columns) if columns is not None else numeric_columns(df)
-    fits = column_quantiles(df, columns, [0.25, 0.5, 0.75], mode, **limits)
+    values = numbers(df, columns)
+    fits = column_quantiles(values, columns, [0.25, 0.5, 0.75], mode, **limits)
+    means = values.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(columns)]).first()
     aggs, rows = [F.count(F.lit(1)).alias("all")], []
+    rounded = lambda e: F.round(e, digits)
     for i, name in enumerate(columns):
-        c = nan_to_null(F.col(name))
+        c = F.col(name)
+        away = c - F.lit(means[f"a{i}"]).cast("double")
         aggs += [
-            F.count(c).alias(f"n{i}"),
-            F.avg(c).alias(f"mean{i}"),
-            F.stddev_samp(c).alias(f"std{i}"),
             F.min(c).alias(f"min{i}"),
             F.max(c).alias(f"max{i}"),
-            F.skewness(c).alias(f"skew{i}"),
-            F.kurtosis(c).alias(f"kurt{i}"),
+            F.sum(away * away).alias(f"s2_{i}"),
+            F.sum(away * away * away).alias(f"s3_{i}"),
+            F.sum(away * away * away * away).alias(f"s4_{i}"),
             F.count_if(c == 0).alias(f"zero{i}"),
         ]
-        n, q = F.col(f"n{i}"), fits[name].values
-        null_count = F.col("all") - n
-        rounded = lambda e: F.round(e, digits)
+        n, q = fits[name].count, fits[name].values
+        s2, s3, s4 = (F.col(f"s{k}_{i}") for k in (2, 3, 4))
+        enough = F.lit(n > 2) & (s2 > 0)
+        null_count = F.col("all") - F.lit(n)
         rows.append(
             {
                 "feature": F.lit(name),
-                "present": n,
-                "mean": rounded(F.col(f"mean{i}")),
-                "std": rounded(F.col(f"std{i}")),
+                "present": F.lit(n).cast("bigint"),
+                "mean": rounded(_number(means[f"a{i}"])),
+                "std": rounded(F.sqrt(s2 / (n - 1))) if n > 1 else _number(None),
                 "min": rounded(F.col(f"min{i}")),
                 "q25": rounded(_number(q[0])),
                 "median": rounded(_number(q[1])),
                 "q75": rounded(_number(q[2])),
                 "max": rounded(F.col(f"max{i}")),
-                "skewness": rounded(F.when(n > 2, F.col(f"skew{i}"))),
-                "kurtosis": rounded(F.when(n > 2, F.col(f"kurt{i}"))),
+                "skewness": rounded(F.when(enough, math.sqrt(n) * s3 / F.pow(s2, 1.5))),
+                "kurtosis": rounded(F.when(enough, n * s4 / (s2 * s2) - 3)),
                 "zero_count": F.col(f"zero{i}"),
                 "zero_pct": F.round(_percent(F.col(f"zero{i}"), F.col("all")), 2),
                 "null_count": null_count,
                 "null_pct": F.round(_percent(null_count, F.col("all")), 2),
             }
         )
-    return rows_of(df.agg(*aggs), rows)
+    return rows_of(values.agg(*aggs), rows)
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, **options) -> DataFrame:
@@ -229,7 +248,8 @@ def crosstab(df: DataFrame, column: str, target: str, classes: Sequence = (0, 1)
 
 def correlation(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson r of every ordered pair over the rows where both are present, in one aggregate."""
-    return correlation_of(df, {(a, b): (F.col(a), F.col(b)) for a in columns for b in columns}, columns, digits)
+    pairs = {(a, b): (F.col(a), F.col(b)) for a in columns for b in columns}
+    return correlation_of(numbers(df, columns), pairs, columns, digits)
 
 
 def correlation_of(df: DataFrame, pairs, columns: Sequence[str], digits: int) -> DataFrame:
@@ -237,7 +257,7 @@ def correlation_of(df: DataFrame, pairs, columns: Sequence[str], digits: int) ->
     aggs, rows = [], []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns[i:], start=i):
-            left, right = (nan_to_null(e) for e in pairs[a, b])
+            left, right = pairs[a, b]
             value = F.corr(left, right) if i != j else F.when(F.stddev_pop(left) > 0, F.lit(1.0))
             aggs.append(value.alias(f"r{i}_{j}"))
             out = F.round(F.nanvl(F.col(f"r{i}_{j}"), F.lit(None).cast("double")), digits)

@@ -22,12 +22,18 @@ from pyspark.sql.window import Window
 from ..functions.scalar import interval_number, nan_to_null
 
 #: distinct values, summed over all expressions, that ``percentile`` may hold in one task
-MAP_LIMIT = 2_000_000
+MAP_LIMIT = 100_000
 #: rows an interval may hold before it is narrowed again
 PICK_LIMIT = 4_000_000
-#: proposed cut points per narrowed interval
+#: size of the sketch that proposes cut points, and how far around a rank they are asked for
+SKETCH_SIZE = 32_768
+MARGIN = 5e-4
+#: cut points per interval that is narrowed again
 GRID = 1024
+#: rank resolution of ``mode="approx"``
 ACCURACY = 10_000
+#: cut points up to which a value's interval is found by comparisons in generated code
+TREE_CUTS = 32
 #: group values a grouped fit accepts
 MAX_GROUPS = 1000
 
@@ -67,12 +73,9 @@ def fit_quantiles(
         ).first()
         return {n: Fit(row[f"n{i}"], list(row[f"p{i}"] or [None] * len(probs[i]))) for i, n in enumerate(names)}
 
-    sizes = values.agg(
-        *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(names))],
-        *[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in range(len(names))],
-    ).first()
+    sizes = values.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(names))]).first()
     counts = [sizes[f"n{i}"] for i in range(len(names))]
-    if sum(sizes[f"d{i}"] for i in range(len(names))) <= map_limit:
+    if sum(counts) <= map_limit or sum(_distinct(values, len(names))) <= map_limit:
         row = values.agg(
             *[
                 F.percentile(f"v{i}", F.array(*[F.lit(float(p)) for p in ps])).alias(f"p{i}")
@@ -130,6 +133,11 @@ def quantile_band(column: Column, edges: Sequence[float]) -> Column:
     return interval_number(column, edges)
 
 
+def _distinct(values: DataFrame, width: int) -> list[int]:
+    row = values.agg(*[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in range(width)]).first()
+    return [row[f"d{i}"] for i in range(width)]
+
+
 # --- narrowing -------------------------------------------------------------------------------
 
 
@@ -145,28 +153,23 @@ def _narrow(
         if counts[i]:
             spots = [p * (counts[i] - 1) for p in ps]
             wanted[i] = {math.floor(s) for s in spots} | {math.ceil(s) for s in spots}
-    cuts: dict[int, list[float]] = {i: [] for i in wanted}
-    sizes: dict[int, dict[int, int]] = {i: {0: counts[i]} for i in wanted}
+    cuts = _around(values, counts, probs)
     known: dict[tuple[int, int], float] = {}
-
     while True:
+        tall = _with_intervals(values, cuts)
+        sizes: dict[int, dict[int, int]] = {i: {} for i in cuts}
+        for row in tall.groupBy("item", "interval").count().collect():
+            sizes[row["item"]][row["interval"]] = row["count"]
         pending = _locate(wanted, cuts, sizes, known)
         if not pending:
             break
         wide = [key for key in pending if sizes[key[0]][key[1]] > pick_limit]
-        tall = _with_intervals(values, cuts)
         proposed = _propose(tall, wide) if wide else {}
-        fresh = {
-            i: sorted(set(cuts[i]) | {v for v in proposed.get(i, ()) if math.isfinite(v)}) for i in cuts
-        }
-        if fresh == cuts:
+        finer = {i: sorted(set(cuts[i]) | {v for v in proposed.get(i, ()) if math.isfinite(v)}) for i in cuts}
+        if finer == cuts:  # every wanted interval is small, or holds nothing that could split it
             known.update(_pick(tall, pending))
             break
-        cuts = fresh
-        sizes = {i: {} for i in cuts}
-        counted = _with_intervals(values, cuts).groupBy("item", "interval").count().collect()
-        for row in counted:
-            sizes[row["item"]][row["interval"]] = row["count"]
+        cuts = finer
 
     out: list[list[float | None]] = []
     for i, ps in enumerate(probs):
@@ -180,6 +183,23 @@ def _narrow(
     return out
 
 
+def _around(values: DataFrame, counts: list[int], probs: list[list[float]]) -> dict[int, list[float]]:
+    """Sketched values just below and above every asked probability, from one scan."""
+    present = [i for i, n in enumerate(counts) if n]
+    asked = {
+        i: sorted({min(1.0, max(0.0, p + side)) for p in probs[i] for side in (-MARGIN, MARGIN)}) for i in present
+    }
+    row = values.agg(
+        *[
+            F.kll_sketch_get_quantile_double(
+                F.kll_sketch_agg_double(f"v{i}", SKETCH_SIZE), F.array(*[F.lit(p) for p in asked[i]])
+            ).alias(f"c{i}")
+            for i in present
+        ]
+    ).first()
+    return {i: sorted({v for v in row[f"c{i}"] if math.isfinite(v)}) for i in present}
+
+
 def _locate(wanted, cuts, sizes, known) -> dict[tuple[int, int], list[tuple[int, int]]]:
     """Interval of every unresolved rank. Odd intervals are a single cut value and settle the rank."""
     pending: dict[tuple[int, int], list[tuple[int, int]]] = {}
@@ -204,7 +224,7 @@ def _locate(wanted, cuts, sizes, known) -> dict[tuple[int, int], list[tuple[int,
 
 def _with_intervals(values: DataFrame, cuts: dict[int, list[float]]) -> DataFrame:
     """``item, interval, value`` rows. Interval 2k lies before cut k, interval 2k+1 is cut k itself."""
-    cutting = [i for i in cuts if cuts[i]]
+    cutting = [i for i in cuts if len(cuts[i]) > TREE_CUTS]
     framed = values
     if cutting:
         framed = Bucketizer(
@@ -216,16 +236,29 @@ def _with_intervals(values: DataFrame, cuts: dict[int, list[float]]) -> DataFram
     rows = []
     for i in cuts:
         value = F.col(f"v{i}")
-        if cuts[i]:
+        if i in cutting:
             bucket = F.col(f"b{i}").cast("int")
             here = F.get(F.array(*[F.lit(c) for c in cuts[i]]), bucket - 1)
             interval = F.when(here == value, 2 * bucket - 1).otherwise(2 * bucket)
         else:
-            interval = F.lit(0)
+            interval = _tree(value, cuts[i], 0)
         rows.append(F.struct(F.lit(i).alias("item"), interval.alias("interval"), value.alias("value")))
     return framed.select(F.inline(F.array(*rows))).where(F.col("value").isNotNull())
 
 
+def _tree(value: Column, cuts: list[float], offset: int) -> Column:
+    """The interval number by halving the cut points."""
+    if not cuts:
+        return F.lit(2 * offset)
+    middle = len(cuts) // 2
+    cut = F.lit(cuts[middle])
+    return (
+        F.when(value < cut, _tree(value, cuts[:middle], offset))
+        .when(value > cut, _tree(value, cuts[middle + 1 :], offset + middle + 1))
+        .otherwise(F.lit(2 * (offset + middle) + 1))
+    )
+
+
 def _only(tall: DataFrame, keys: Sequence[tuple[int, int]]) -> DataFrame:
     by_item: dict[int, list[int]] = {}
     for item, interval in keys:
@@ -237,11 +270,12 @@ def _only(tall: DataFrame, keys: Sequence[tuple[int, int]]) -> DataFrame:
 
 
 def _propose(tall: DataFrame, keys: Sequence[tuple[int, int]]) -> dict[int, set[float]]:
-    grid = [j / GRID for j in range(GRID + 1)]
+    grid = F.array(*[F.lit(j / GRID) for j in range(GRID + 1)])
+    sketch = F.kll_sketch_agg_double("value", 4 * GRID)
     rows = (
         _only(tall, keys)
         .groupBy("item", "interval")
-        .agg(F.percentile_approx("value", grid, ACCURACY).alias("grid"))
+        .agg(F.kll_sketch_get_quantile_double(sketch, grid).alias("grid"))
         .collect()
     )
     found: dict[int, set[float]] = {}
