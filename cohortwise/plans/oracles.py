@@ -294,6 +294,15 @@ def _screening_columns() -> str:
     {inside}, {place} FROM c"""
 
 
+def _record_score() -> str:
+    """The placeholder score of the readings, in which a missing one is written as null."""
+    text = " || ';' || ".join(
+        f"'{c}=' || coalesce(CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,10)) AS VARCHAR), 'null')"
+        for c in sorted(COLUMNS)
+    )
+    return f"CAST(('0x' || substr(sha256({text}), 1, 8)) AS BIGINT) / 4294967296.0"
+
+
 def _placeholder() -> str:
     text = " || ';' || ".join(
         f"'{c}=' || CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,10)) AS VARCHAR)" for c in sorted(COLUMNS)
@@ -559,4 +568,12 @@ ORACLES: dict[str, str] = {
         round({_hash(7, 'draw')} / 4503599627370496.0, 9) AS u FROM raw""",
     "class_weights": f"""WITH {RAW}, n AS (SELECT outcome AS y, count(*) AS n, sum(count(*)) OVER () AS rows_all FROM raw GROUP BY 1)
         SELECT pid, outcome, round(rows_all / (2.0 * n), 6) AS weight FROM raw JOIN n ON raw.outcome = n.y""",
+    "score_table": f"""WITH {READ}, h AS (SELECT pid, total, {_record_score()} AS p FROM c)
+        SELECT pid, round(p, 9) AS probability, CAST(p >= 0.5 AS INT) AS label, 'placeholder' AS source,
+        round(count(*) OVER (ORDER BY total RANGE UNBOUNDED PRECEDING) / CAST(count(*) OVER () AS DOUBLE), 9)
+        AS primary_percentile FROM h""",
+    "score_stream": f"""WITH {READ}, h AS (SELECT pid, {_record_score()} AS p FROM c)
+        SELECT pid, round(p, 9) AS probability, CAST(p >= 0.5 AS INT) AS label, 'placeholder' AS source FROM h""",
 }
+ORACLES["clean_job"] = ORACLES["features"]
+ORACLES["cohort_report"] = ORACLES["rate_by_risk_score"]

@@ -12,6 +12,11 @@ from ..functions.scalar import class_label, clip, decide, display_id, position_i
 from ..operators import clean, cohort, density, evaluate, features, folds, profile, rank_tests, scale
 from ..sources import gate, readers, sinks, synthetic
 from ..sources.staging import new_path, stage
+from ..learners.artifact import load_scorer
+from ..learners.pipelines import Settings, candidates, logistic_regression
+from ..learners.stacking import leaderboard
+from ..streaming.scoring import arriving, score_stream
+from . import jobs, train_job
 from . import order_cohort as oc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,6 +315,63 @@ def class_weights(spark, sf_dir):
     return tidy(base.select(KEY, TARGET, folds.weight_column(TARGET, weights).alias("weight")))
 
 
+# --- learners and jobs -----------------------------------------------------------------------
+
+#: small learners, so that a query stays a query
+LIGHT = Settings(
+    iterations=20, trees=8, forest_depth=4, rounds=4, svm_iterations=10, calibration_folds=2, stacking_folds=2
+)
+
+
+def oof_scores(spark, sf_dir):
+    learners = [logistic_regression(NUMERIC, TARGET, LIGHT)]
+    return tidy(train_job.compare(staged_readings(spark, sf_dir), KEY, TARGET, learners, 3, 42, exact=False), 4)
+
+
+def leaderboard_table(spark, sf_dir):
+    learners = list(candidates(NUMERIC, TARGET, LIGHT).values())
+    oof = train_job.compare(staged_readings(spark, sf_dir), KEY, TARGET, learners, 2, 42, exact=False)
+    return tidy(leaderboard(oof, TARGET, [m.name for m in learners]), 3)
+
+
+def training_metrics(spark, sf_dir):
+    run = train_job.run_training(
+        staged_readings(spark, sf_dir), oc.CONTRACT, settings=LIGHT, folds=2, with_singles=False
+    )
+    return run.metrics.select("rows.*", "seed", "features", F.col("chosen_threshold").isNotNull().alias("has_threshold"))
+
+
+def score_table(spark, sf_dir):
+    base = staged_readings(spark, sf_dir)
+    scorer = load_scorer(spark, new_path(spark, "no-model"), NUMERIC)
+    placed, _ = jobs.score_records(base, scorer, base, oc.CONTRACT, "total")
+    return tidy(placed.select(KEY, "probability", "label", "source", "primary_percentile"), 9)
+
+
+def score_stream_table(spark, sf_dir):
+    base = staged_readings(spark, sf_dir)
+    folder = base.inputFiles()[0].rsplit("/", 1)[0]
+    sink = new_path(spark, "scored")
+    scorer = load_scorer(spark, new_path(spark, "no-model"), NUMERIC)
+    stream = arriving(spark, folder, base.schema)
+    score_stream(stream, scorer, sink, new_path(spark, "scored-checkpoint")).awaitTermination()
+    return tidy(spark.read.parquet(sink).select(KEY, "probability", "label", "source"), 9)
+
+
+def clean_job(spark, sf_dir):
+    done = jobs.run_cleaning(
+        oc.order_cohort(spark, sf_dir), oc.CONTRACT, oc.DERIVATIONS, outlier_columns=CAPPED
+    )
+    return tidy(done.engineered)
+
+
+def cohort_report(spark, sf_dir):
+    base = stage(engineered(spark, sf_dir), "engineered")
+    roles = {"primary": "max_price", "body": "qty", "age": "total"}
+    tables = jobs.cohort_report(base, oc.CONTRACT, "risk_score", ["price_band"], roles)
+    return tidy(tables["rate_by_score"])
+
+
 def _on_readings(operator: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf_dir: tidy(operator(staged_readings(spark, sf_dir), *args))
 
@@ -411,4 +473,11 @@ QUERIES: dict[str, Query] = {
     "folds": fold_table,
     "hash_folds": hash_folds,
     "class_weights": class_weights,
+    "oof_scores": oof_scores,
+    "leaderboard": leaderboard_table,
+    "training_metrics": training_metrics,
+    "score_table": score_table,
+    "score_stream": score_stream_table,
+    "clean_job": clean_job,
+    "cohort_report": cohort_report,
 }
