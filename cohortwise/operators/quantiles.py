@@ -75,7 +75,9 @@ def fit_quantiles(
 
     sizes = values.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(names))]).first()
     counts = [sizes[f"n{i}"] for i in range(len(names))]
-    if sum(counts) <= map_limit or sum(_distinct(values, len(names))) <= map_limit:
+    if not any(counts):
+        found = [[None] * len(ps) for ps in probs]
+    elif sum(counts) <= map_limit or sum(_distinct(values, len(names))) <= map_limit:
         row = values.agg(
             *[
                 F.percentile(f"v{i}", F.array(*[F.lit(float(p)) for p in ps])).alias(f"p{i}")
