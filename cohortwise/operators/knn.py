@@ -164,7 +164,7 @@ def _cell_fills(
         *[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
         *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)],
     )
-    table = boxes.toPandas()  # MAX_CELLS grid cells per pattern of present columns at the most
+    table = boxes.toPandas()  # at most MAX_CELLS rows
     table["cell"] = np.arange(len(table))
     table["blocks"] = -(-table["rows"] // cell_rows)
 
@@ -222,7 +222,10 @@ def _cell_fills(
 def _with_cells(donors: DataFrame, columns: list[str], spread: list[float], kinds: int, cell_rows: int) -> DataFrame:
     """Adds the pattern of present columns and the quantile buckets on the two widest columns."""
     pattern = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns])
-    side = int(min(np.sqrt(MAX_CELLS), max(1, np.ceil(np.sqrt(kinds / cell_rows)))))
+    patterns = donors.select(pattern).distinct().count()
+    if patterns > MAX_CELLS:
+        raise ValueError(f"{patterns} combinations of present columns; impute fewer columns at once")
+    side = int(max(1, min(np.sqrt(MAX_CELLS / patterns), np.ceil(np.sqrt(kinds / cell_rows)))))
     axes = [columns[i] for i in np.argsort(spread)[::-1][:2]]
     probs = [i / side for i in range(side + 1)]
     fits = column_quantiles(donors, axes, probs, mode="approx")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
+
 #: rows of a lookup table that may be broadcast (about 5 MB at 24 bytes a row)
 BROADCAST_ROWS = 200_000
 #: a value held by more than this share of the rows is treated as hot
@@ -30,6 +32,7 @@ def attach_by_value(
     if lookup_rows <= BROADCAST_ROWS:
         side = F.broadcast(lookup.select(F.col("value").alias("_key"), F.col(result).alias(output)))
         return df.join(side, F.col(column).cast("double") == F.col("_key"), "left").drop("_key")
+    lookup = stage(lookup.select("value", "n", result), "lookup")  # read twice below
     is_hot = F.col("n") >= F.lit(total * HOT_SHARE)
     hot = F.broadcast(
         lookup.where(is_hot).select(F.col("value").alias("_hot"), F.col(result).alias("_hot_result"))

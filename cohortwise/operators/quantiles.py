@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from ..functions.scalar import interval_number, nan_to_null
 
-#: distinct values, summed over all expressions, that ``percentile`` may hold in one task
+#: values, summed over all expressions, up to which ``percentile`` is used
 MAP_LIMIT = 100_000
 #: rows an interval may hold before it is narrowed again
 PICK_LIMIT = 4_000_000
@@ -73,11 +73,10 @@ def fit_quantiles(
         ).first()
         return {n: Fit(row[f"n{i}"], list(row[f"p{i}"] or [None] * len(probs[i]))) for i, n in enumerate(names)}
 
-    sizes = values.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(names))]).first()
-    counts = [sizes[f"n{i}"] for i in range(len(names))]
+    counts, cuts = _sketch(values, probs)
     if not any(counts):
         found = [[None] * len(ps) for ps in probs]
-    elif sum(counts) <= map_limit or sum(_distinct(values, len(names))) <= map_limit:
+    elif sum(counts) <= map_limit:
         row = values.agg(
             *[
                 F.percentile(f"v{i}", F.array(*[F.lit(float(p)) for p in ps])).alias(f"p{i}")
@@ -86,7 +85,7 @@ def fit_quantiles(
         ).first()
         found = [list(row[f"p{i}"] or [None] * len(probs[i])) for i in range(len(names))]
     else:
-        found = _narrow(values, counts, probs, pick_limit)
+        found = _narrow(values, counts, probs, cuts, pick_limit)
     return {name: Fit(counts[i], found[i]) for i, name in enumerate(names)}
 
 
@@ -135,11 +134,6 @@ def quantile_band(column: Column, edges: Sequence[float]) -> Column:
     return interval_number(column, edges)
 
 
-def _distinct(values: DataFrame, width: int) -> list[int]:
-    row = values.agg(*[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in range(width)]).first()
-    return [row[f"d{i}"] for i in range(width)]
-
-
 # --- narrowing -------------------------------------------------------------------------------
 
 
@@ -148,28 +142,28 @@ def _interpolate(low: float, high: float, fraction: float) -> float:
 
 
 def _narrow(
-    values: DataFrame, counts: list[int], probs: list[list[float]], pick_limit: int
+    values: DataFrame,
+    counts: list[int],
+    probs: list[list[float]],
+    cuts: dict[int, list[float]],
+    pick_limit: int,
 ) -> list[list[float | None]]:
     wanted: dict[int, set[int]] = {}
     for i, ps in enumerate(probs):
         if counts[i]:
             spots = [p * (counts[i] - 1) for p in ps]
             wanted[i] = {math.floor(s) for s in spots} | {math.ceil(s) for s in spots}
-    cuts = _around(values, counts, probs)
     known: dict[tuple[int, int], float] = {}
     while True:
-        tall = _with_intervals(values, cuts)
-        sizes: dict[int, dict[int, int]] = {i: {} for i in cuts}
-        for row in tall.groupBy("item", "interval").count().collect():
-            sizes[row["item"]][row["interval"]] = row["count"]
-        pending = _locate(wanted, cuts, sizes, known)
+        framed = _with_intervals(values, cuts)
+        pending = _locate(wanted, cuts, _interval_sizes(framed, cuts), known)
         if not pending:
             break
-        wide = [key for key in pending if sizes[key[0]][key[1]] > pick_limit]
-        proposed = _propose(tall, wide) if wide else {}
+        wide = [key for key, (size, _) in pending.items() if size > pick_limit]
+        proposed = _propose(framed, wide) if wide else {}
         finer = {i: sorted(set(cuts[i]) | {v for v in proposed.get(i, ()) if math.isfinite(v)}) for i in cuts}
         if finer == cuts:  # every wanted interval is small, or holds nothing that could split it
-            known.update(_pick(tall, pending))
+            known.update(_pick(framed, pending))
             break
         cuts = finer
 
@@ -185,26 +179,28 @@ def _narrow(
     return out
 
 
-def _around(values: DataFrame, counts: list[int], probs: list[list[float]]) -> dict[int, list[float]]:
-    """Sketched values just below and above every asked probability, from one scan."""
-    present = [i for i, n in enumerate(counts) if n]
-    asked = {
-        i: sorted({min(1.0, max(0.0, p + side)) for p in probs[i] for side in (-MARGIN, MARGIN)}) for i in present
+def _sketch(values: DataFrame, probs: list[list[float]]) -> tuple[list[int], dict[int, list[float]]]:
+    """Counts, and sketched values just below and above every asked probability, from one scan."""
+    asked = [
+        sorted({min(1.0, max(0.0, p + side)) for p in ps for side in (-MARGIN, MARGIN)}) for ps in probs
+    ]
+    aggs = []
+    for i, ps in enumerate(asked):
+        sketch = F.kll_sketch_agg_double(f"v{i}", SKETCH_SIZE)
+        n = F.count(f"v{i}")
+        near = F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(p) for p in ps]))
+        aggs += [n.alias(f"n{i}"), F.when(n > 0, near).alias(f"c{i}")]
+    row = values.agg(*aggs).first()
+    counts = [row[f"n{i}"] for i in range(len(probs))]
+    cuts = {
+        i: sorted({v for v in row[f"c{i}"] if math.isfinite(v)}) for i, count in enumerate(counts) if count
     }
-    row = values.agg(
-        *[
-            F.kll_sketch_get_quantile_double(
-                F.kll_sketch_agg_double(f"v{i}", SKETCH_SIZE), F.array(*[F.lit(p) for p in asked[i]])
-            ).alias(f"c{i}")
-            for i in present
-        ]
-    ).first()
-    return {i: sorted({v for v in row[f"c{i}"] if math.isfinite(v)}) for i in present}
-
-
-def _locate(wanted, cuts, sizes, known) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    return counts, cuts
+
+
+def _locate(wanted, cuts, sizes, known) -> dict[tuple[int, int], tuple[int, list[tuple[int, int]]]]:
     """Interval of every unresolved rank. Odd intervals are a single cut value and settle the rank."""
-    pending: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    pending: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
     for i, ranks in wanted.items():
         order = sorted(sizes[i])
         ends, total = [], 0
@@ -220,12 +216,13 @@ def _locate(wanted, cuts, sizes, known) -> dict[tuple[int, int], list[tuple[int,
                 known[i, rank] = cuts[i][interval // 2]
             else:
                 before = ends[at - 1] if at else 0
-                pending.setdefault((i, interval), []).append((rank, rank - before))
+                size, ranked = pending.setdefault((i, interval), (sizes[i][interval], []))
+                ranked.append((rank, rank - before))
     return pending
 
 
 def _with_intervals(values: DataFrame, cuts: dict[int, list[float]]) -> DataFrame:
-    """``item, interval, value`` rows. Interval 2k lies before cut k, interval 2k+1 is cut k itself."""
+    """Adds ``s<i>``, the interval of ``v<i>``: 2k lies before cut k, 2k+1 is cut k itself."""
     cutting = [i for i in cuts if len(cuts[i]) > TREE_CUTS]
     framed = values
     if cutting:
@@ -235,7 +232,7 @@ def _with_intervals(values: DataFrame, cuts: dict[int, list[float]]) -> DataFram
             splitsArray=[[float("-inf"), *cuts[i], float("inf")] for i in cutting],
             handleInvalid="keep",
         ).transform(values)
-    rows = []
+    spots = []
     for i in cuts:
         value = F.col(f"v{i}")
         if i in cutting:
@@ -244,8 +241,27 @@ def _with_intervals(values: DataFrame, cuts: dict[int, list[float]]) -> DataFram
             interval = F.when(here == value, 2 * bucket - 1).otherwise(2 * bucket)
         else:
             interval = _tree(value, cuts[i], 0)
-        rows.append(F.struct(F.lit(i).alias("item"), interval.alias("interval"), value.alias("value")))
-    return framed.select(F.inline(F.array(*rows))).where(F.col("value").isNotNull())
+        spots.append(F.when(value.isNotNull(), interval).otherwise(-1).alias(f"s{i}"))
+    return framed.select(*[f"v{i}" for i in cuts], *spots)
+
+
+def _interval_sizes(framed: DataFrame, cuts: dict[int, list[float]]) -> dict[int, dict[int, int]]:
+    """Rows per interval of every item, counted over plain integer codes."""
+    bases, base = {}, 0
+    for i in cuts:
+        bases[i] = base
+        base += 2 * len(cuts[i]) + 2
+    codes = F.array(*[F.col(f"s{i}") + F.lit(bases[i] + 1) for i in cuts])
+    rows = framed.select(F.explode(codes).alias("code")).groupBy("code").count().collect()
+    starts = list(bases.values())
+    items = list(bases)
+    sizes: dict[int, dict[int, int]] = {i: {} for i in cuts}
+    for row in rows:
+        item = items[bisect_right(starts, row["code"]) - 1]
+        interval = row["code"] - bases[item] - 1
+        if interval >= 0:
+            sizes[item][interval] = row["count"]
+    return sizes
 
 
 def _tree(value: Column, cuts: list[float], offset: int) -> Column:
@@ -261,21 +277,29 @@ def _tree(value: Column, cuts: list[float], offset: int) -> Column:
     )
 
 
-def _only(tall: DataFrame, keys: Sequence[tuple[int, int]]) -> DataFrame:
+def _only(framed: DataFrame, keys: Sequence[tuple[int, int]]) -> DataFrame:
+    """``item, interval, value`` rows of the given intervals; rows outside all of them go first."""
     by_item: dict[int, list[int]] = {}
     for item, interval in keys:
         by_item.setdefault(item, []).append(interval)
+    inside = {i: F.col(f"s{i}").isin(intervals) for i, intervals in by_item.items()}
     condition = F.lit(False)
-    for item, intervals in by_item.items():
-        condition = condition | ((F.col("item") == item) & F.col("interval").isin(intervals))
-    return tall.where(condition)
+    for test in inside.values():
+        condition = condition | test
+    rows = [
+        F.struct(
+            F.lit(i).alias("item"), F.col(f"s{i}").alias("interval"), F.when(test, F.col(f"v{i}")).alias("value")
+        )
+        for i, test in inside.items()
+    ]
+    return framed.where(condition).select(F.inline(F.array(*rows))).where(F.col("value").isNotNull())
 
 
-def _propose(tall: DataFrame, keys: Sequence[tuple[int, int]]) -> dict[int, set[float]]:
+def _propose(framed: DataFrame, keys: Sequence[tuple[int, int]]) -> dict[int, set[float]]:
     grid = F.array(*[F.lit(j / GRID) for j in range(GRID + 1)])
     sketch = F.kll_sketch_agg_double("value", 4 * GRID)
     rows = (
-        _only(tall, keys)
+        _only(framed, keys)
         .groupBy("item", "interval")
         .agg(F.kll_sketch_get_quantile_double(sketch, grid).alias("grid"))
         .collect()
@@ -286,16 +310,17 @@ def _propose(tall: DataFrame, keys: Sequence[tuple[int, int]]) -> dict[int, set[
     return found
 
 
-def _pick(tall: DataFrame, pending: dict[tuple[int, int], list[tuple[int, int]]]) -> dict[tuple[int, int], float]:
-    spark = tall.sparkSession
+def _pick(framed: DataFrame, pending: dict) -> dict[tuple[int, int], float]:
+    """The values at the wanted ranks, found by running counts inside their small intervals."""
+    spark = framed.sparkSession
     asked = spark.createDataFrame(
-        [(i, interval, rank, local) for (i, interval), pairs in pending.items() for rank, local in pairs],
+        [(i, at, rank, local) for (i, at), (_, pairs) in pending.items() for rank, local in pairs],
         "item int, interval int, rank long, local long",
     )
     order = Window.partitionBy("item", "interval").orderBy("value")
     upto = F.sum("count").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = (
-        _only(tall, list(pending))
+        _only(framed, list(pending))
         .groupBy("item", "interval", "value")
         .count()
         .withColumn("upto", upto)

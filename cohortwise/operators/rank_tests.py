@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import nan_to_null, p_value_text
+from ..sources.staging import stage
 from .lookup import attach_by_value
 from .profile import correlation_of, group_statistics
 from .ranks import average_ranks, distinct_estimates, running_totals, value_weights
@@ -118,6 +119,8 @@ def attach_ranks(
     ranks, distinct = average_ranks(
         carried, {name: F.col(f"_v{i}") for i, name in enumerate(columns)}, bucket_rows
     )
+    # one lookup per column reads its own folder instead of ranking all columns again
+    ranks = stage(ranks, "ranks", "feature")
     total = carried.count()
     for i, name in enumerate(columns):
         carried = attach_by_value(

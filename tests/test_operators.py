@@ -99,7 +99,7 @@ def test_many_quantiles_and_groups_by_narrowing(numbers):
 
 def test_quantiles_without_values(spark):
     df = spark.sql("SELECT CAST(NULL AS DOUBLE) AS x, 'NaN' AS t").withColumn("z", F.lit(float("nan")))
-    for limits in ({}, {"map_limit": -1}):
+    for limits in ({}, {"map_limit": -1, "pick_limit": 1}):
         fits = quantiles.column_quantiles(df, ["x", "z"], [0.5], **limits)
         assert fits["x"] == quantiles.Fit(0, [None]) and fits["z"].count == 0
 
