@@ -48,6 +48,7 @@ class Settings:
     stacking_folds: int = 5
     seed: int = SEED
     mode: str = "exact"
+    learners: tuple[str, ...] = ("logistic_regression", "random_forest", "gradient_boosting", "svm")
 
 
 @dataclass(frozen=True)
@@ -211,9 +212,11 @@ def support_vector(features: Sequence[str], label: str, settings: Settings = Set
 
 
 def candidates(features: Sequence[str], label: str, settings: Settings = Settings()) -> dict[str, Learner]:
-    """The single learners in reporting order."""
-    made = [
-        build(features, label, settings)
-        for build in (logistic_regression, random_forest, gradient_boosting, support_vector)
-    ]
-    return {learner.name: learner for learner in made}
+    """The single learners named in the settings, in reporting order."""
+    builders = {
+        "logistic_regression": logistic_regression,
+        "random_forest": random_forest,
+        "gradient_boosting": gradient_boosting,
+        "svm": support_vector,
+    }
+    return {name: builders[name](features, label, settings) for name in settings.learners}

@@ -44,7 +44,7 @@ def out_of_fold(folded: DataFrame, learners: Sequence[Learner], folds: int, keep
 def stacking(
     features: Sequence[str], label: str, settings: Settings = Settings(), name: str = "stacking"
 ) -> Learner:
-    """Four learners feed out-of-fold probabilities to a balanced logistic regression."""
+    """The single learners feed out-of-fold probabilities to a balanced logistic regression."""
     level0 = list(candidates(features, label, settings).values())
 
     def fit(train: DataFrame) -> PipelineModel:

@@ -248,7 +248,7 @@ _CELLS = """SELECT count(*) FILTER (outcome = 0 AND score < 0.366) AS tn,
 
 _PROBS = ", ".join(f"{0.02 + i * 0.01:.2f}" for i in range(97))
 
-_THRESHOLDS = f"""{SCORED}, g AS (SELECT DISTINCT round(unnest(quantile_cont(score, [{_PROBS}])), 4) AS threshold FROM s),
+_THRESHOLDS = f"""{RAW}, s AS (SELECT outcome, total / 500000 AS score FROM raw), g AS (SELECT DISTINCT round(unnest(quantile_cont(score, [{_PROBS}])), 4) AS threshold FROM s),
     h AS (SELECT threshold, CAST(count(*) FILTER (outcome = 1) AS BIGINT) AS tp,
           CAST(count(*) FILTER (outcome = 0) AS BIGINT) AS fp
           FROM g JOIN s ON s.score >= g.threshold GROUP BY threshold),
