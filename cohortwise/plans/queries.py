@@ -381,6 +381,16 @@ def cohort_report(spark, sf_dir):
     return tidy(tables["rate_by_score"])
 
 
+def leakage_audit(spark, sf_dir):
+    audit = train_job.leakage_audit(staged_readings(spark, sf_dir), oc.CONTRACT, LIGHT, 2)
+    return tidy(audit, 3)
+
+
+def _on_scan(operator: Callable[..., DataFrame], *args) -> Query:
+    """For operators that read their input once, which need no written copy."""
+    return lambda spark, sf_dir: tidy(operator(oc.readings(spark, sf_dir), *args))
+
+
 def _on_readings(operator: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf_dir: tidy(operator(staged_readings(spark, sf_dir), *args))
 
@@ -428,7 +438,7 @@ QUERIES: dict[str, Query] = {
     "documents_profile": documents_profile,
     "describe": _on_readings(profile.describe, NUMERIC),
     "column_info": column_info,
-    "corrected_skewness": _on_readings(profile.corrected_skewness, NUMERIC),
+    "corrected_skewness": _on_scan(profile.corrected_skewness, NUMERIC),
     "missingness": missingness,
     "missing_share": missing_share,
     "before_after": before_after,
@@ -439,8 +449,8 @@ QUERIES: dict[str, Query] = {
     "class_balance": _on_cohort(profile.class_balance, TARGET, "finished", "open"),
     "target_shares": _on_cohort(profile.class_balance, TARGET),
     "crosstab": _on_engineered(profile.crosstab, "price_band", TARGET),
-    "corr_long": _on_readings(profile.correlation, [*NUMERIC, TARGET]),
-    "corr_heatmap": _on_readings(profile.correlation, [*NUMERIC, TARGET], 2),
+    "corr_long": _on_scan(profile.correlation, [*NUMERIC, TARGET]),
+    "corr_heatmap": _on_scan(profile.correlation, [*NUMERIC, TARGET], 2),
     "spearman": spearman,
     "spearman_pairwise": spearman_pairwise,
     "box_stats": _on_readings(profile.box_statistics, NUMERIC),
@@ -448,19 +458,19 @@ QUERIES: dict[str, Query] = {
     "density": density_raw,
     "density_by_class": density_by_class,
     "headline": _on_engineered(cohort.headline, TARGET, "risk_score"),
-    "headline_complete": _on_readings(cohort.headline, TARGET),
+    "headline_complete": _on_scan(cohort.headline, TARGET),
     "top_risk": _on_engineered(cohort.top_records, KEY, ["risk_score", "max_price", "qty"], TARGET),
     "folded_categories": folded_categories,
     "category_counts": category_counts,
     "histogram": histograms,
     "lineitem_histogram": lineitem_histogram,
     "scatter_sample": scatter_sample,
-    "completeness": _on_readings(cohort.completeness),
+    "completeness": _on_scan(cohort.completeness),
     "rate_by_category": rate_by_category,
     "rate_by_band": _on_readings(cohort.rate_by_band, "qty", TARGET),
     "prevalence_line": _on_readings(cohort.prevalence_line, "max_price", TARGET),
     "cdf": _on_readings(cohort.cumulative_distribution, "total"),
-    "cdf_marker": _on_readings(cohort.share_at_or_below, "total", 123456.78),
+    "cdf_marker": _on_scan(cohort.share_at_or_below, "total", 123456.78),
     "record_vs_cohort": record_vs_cohort,
     "percentile_lookup": percentile_lookup,
     "majority_floor": _on_cohort(cohort.majority_floor, TARGET),
@@ -485,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "oof_scores": oof_scores,
     "leaderboard": leaderboard_table,
     "training_metrics": training_metrics,
+    "leakage_audit": leakage_audit,
     "score_table": score_table,
     "score_stream": score_stream_table,
     "clean_job": clean_job,

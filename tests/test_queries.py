@@ -6,7 +6,7 @@ import compare
 from __spark_entry__ import entry, oracle_sql, queries
 
 SF_DIR = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"file_digests", "impute_knn", "oof_scores", "leaderboard", "training_metrics"}
+WITHOUT_SQL = {"file_digests", "impute_knn", "oof_scores", "leaderboard", "training_metrics", "leakage_audit"}
 
 
 @pytest.fixture(scope="module")
