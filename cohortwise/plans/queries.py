@@ -426,7 +426,8 @@ QUERIES: dict[str, Query] = {
     "impute_median": _imputed("median"),
     "impute_mean": _imputed("mean"),
     "impute_group_median": _imputed("median_by_group"),
-        "winsorize": _capped("winsorize"),
+    "impute_knn": impute_knn,
+    "winsorize": _capped("winsorize"),
     "iqr_cap": _capped("iqr_cap"),
     "scale_standard": _scaled("standard"),
     "scale_robust": _scaled("robust"),
