@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import class_label, nan_to_null, severity
 from .quantiles import column_quantiles, group_quantiles
-from .shape import rows_of
+from .shape import batched_rows, rows_of
 
 NUMERIC_TYPES = ("byte", "short", "integer", "long", "float", "double", "decimal")
 
@@ -50,12 +50,13 @@ def summary_statistics(
     values = numbers(df, columns)
     fits = column_quantiles(values, columns, [0.25, 0.5, 0.75], mode, **limits)
     means = values.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(columns)]).first()
-    aggs, rows = [F.count(F.lit(1)).alias("all")], []
+    entries = []
     rounded = lambda e: F.round(e, digits)
     for i, name in enumerate(columns):
         c = F.col(name)
         away = c - F.lit(means[f"a{i}"]).cast("double")
-        aggs += [
+        aggs = [
+            F.count(F.lit(1)).alias(f"all{i}"),
             F.min(c).alias(f"min{i}"),
             F.max(c).alias(f"max{i}"),
             F.sum(away * away).alias(f"s2_{i}"),
@@ -66,8 +67,9 @@ def summary_statistics(
         n, q = fits[name].count, fits[name].values
         s2, s3, s4 = (F.col(f"s{k}_{i}") for k in (2, 3, 4))
         enough = F.lit(n > 2) & (s2 > 0)
-        null_count = F.col("all") - F.lit(n)
-        rows.append(
+        total = F.col(f"all{i}")
+        null_count = total - F.lit(n)
+        row = (
             {
                 "feature": F.lit(name),
                 "present": F.lit(n).cast("bigint"),
@@ -81,12 +83,13 @@ def summary_statistics(
                 "skewness": rounded(F.when(enough, math.sqrt(n) * s3 / F.pow(s2, 1.5))),
                 "kurtosis": rounded(F.when(enough, n * s4 / (s2 * s2) - 3)),
                 "zero_count": F.col(f"zero{i}"),
-                "zero_pct": F.round(_percent(F.col(f"zero{i}"), F.col("all")), 2),
+                "zero_pct": F.round(_percent(F.col(f"zero{i}"), total), 2),
                 "null_count": null_count,
-                "null_pct": F.round(_percent(null_count, F.col("all")), 2),
+                "null_pct": F.round(_percent(null_count, total), 2),
             }
         )
-    return rows_of(values.agg(*aggs), rows)
+        entries.append((aggs, [row]))
+    return batched_rows(values, entries, SUMMARIES_PER_SCAN)
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, **options) -> DataFrame:
@@ -252,18 +255,26 @@ def correlation(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataF
     return correlation_of(numbers(df, columns), pairs, columns, digits)
 
 
+#: column pairs, and columns with their box statistics, handled in one aggregate
+PAIRS_PER_SCAN = 15
+BOXES_PER_SCAN = 6
+SUMMARIES_PER_SCAN = 8
+
+
 def correlation_of(df: DataFrame, pairs, columns: Sequence[str], digits: int) -> DataFrame:
     """``pairs`` maps (row, column) to the two expressions; each unordered pair is computed once."""
-    aggs, rows = [], []
+    entries = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns[i:], start=i):
             left, right = pairs[a, b]
-            value = F.corr(left, right) if i != j else F.when(F.stddev_pop(left) > 0, F.lit(1.0))
-            aggs.append(value.alias(f"r{i}_{j}"))
+            value = F.corr(left, right) if i != j else F.when(F.min(left) < F.max(left), F.lit(1.0))
             out = F.round(F.nanvl(F.col(f"r{i}_{j}"), F.lit(None).cast("double")), digits)
-            for x, y in {(a, b), (b, a)}:
-                rows.append({"row_field": F.lit(x), "column_field": F.lit(y), "correlation": out})
-    return rows_of(df.agg(*aggs), rows)
+            rows = [
+                {"row_field": F.lit(x), "column_field": F.lit(y), "correlation": out}
+                for x, y in sorted({(a, b), (b, a)})
+            ]
+            entries.append(([value.alias(f"r{i}_{j}")], rows))
+    return batched_rows(df, entries, PAIRS_PER_SCAN)
 
 
 def box_statistics(
@@ -279,7 +290,7 @@ def box_statistics(
         fits = {(None, c): f for c, f in column_quantiles(df, columns, [0.25, 0.5, 0.75], mode, **limits).items()}
     else:
         fits = group_quantiles(df, columns, [0.25, 0.5, 0.75], by, groups, mode, **limits)
-    aggs, rows = [], []
+    entries = []
     for i, ((group, name), fit) in enumerate(fits.items()):
         c = F.col(name) if by is None else F.when(F.col(by) == F.lit(group), F.col(name))
         c = nan_to_null(c)
@@ -289,7 +300,7 @@ def box_statistics(
             inside = (c >= F.lit(q1 - reach)) & (c <= F.lit(q3 + reach))
         else:
             inside = F.lit(False)
-        aggs += [
+        aggs = [
             F.min(F.when(inside, c)).alias(f"lo{i}"),
             F.max(F.when(inside, c)).alias(f"hi{i}"),
             F.count_if(~inside).alias(f"out{i}"),
@@ -297,10 +308,8 @@ def box_statistics(
             F.max(c).alias(f"max{i}"),
             F.avg(c).alias(f"mean{i}"),
         ]
-        row = {} if by is None else {by: F.lit(group)}
-        rows.append(
-            row
-            | {
+        row = ({} if by is None else {by: F.lit(group)}) | (
+            {
                 "field": F.lit(name),
                 "q1": _number(q1),
                 "median": _number(median),
@@ -313,4 +322,5 @@ def box_statistics(
                 "mean": F.col(f"mean{i}"),
             }
         )
-    return rows_of(df.agg(*aggs), rows)
+        entries.append((aggs, [row]))
+    return batched_rows(df, entries, BOXES_PER_SCAN)

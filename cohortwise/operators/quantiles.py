@@ -34,8 +34,8 @@ GRID = 1024
 ACCURACY = 10_000
 #: cut points up to which a value's interval is found by comparisons in generated code
 TREE_CUTS = 32
-#: group values a grouped fit accepts
-MAX_GROUPS = 1000
+#: group values a grouped fit accepts; every one is fitted beside the others in the same scan
+MAX_GROUPS = 32
 
 
 @dataclass(frozen=True)

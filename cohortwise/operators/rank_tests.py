@@ -150,6 +150,7 @@ def rank_correlation(
     names = {(a, b): (ranked(a, b), ranked(b, a)) for a in columns for b in columns}
     numbered = {name: f"r{i}" for i, name in enumerate(needed)}
     with_ranks = attach_ranks(frame, {numbered[n]: e for n, e in needed.items()}, "_", bucket_rows)
+    with_ranks = stage(with_ranks.select(*[f"_{r}" for r in numbered.values()]), "ranked")
     pairs = {
         key: (F.col(f"_{numbered[left]}"), F.col(f"_{numbered[right]}")) for key, (left, right) in names.items()
     }

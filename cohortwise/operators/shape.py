@@ -14,6 +14,23 @@ def rows_of(df: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
+def batched_rows(
+    df: DataFrame, entries: Sequence[tuple[Sequence[Column], Sequence[Mapping[str, Column]]]], per_scan: int
+) -> DataFrame:
+    """``rows_of`` over the aggregates of ``(aggregates, rows)`` entries, ``per_scan`` entries at a time.
+
+    One aggregate over very many expressions outgrows what the JVM compiles, and then every row is
+    interpreted; another scan of the same few columns is cheaper.
+    """
+    out = None
+    for start in range(0, len(entries), per_scan):
+        part = entries[start : start + per_scan]
+        one = df.agg(*[a for aggs, _ in part for a in aggs])
+        table = rows_of(one, [row for _, rows in part for row in rows])
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
 def feature_rows(df: DataFrame, columns: Mapping[str, Column], extra: Sequence[Column] = ()) -> DataFrame:
     """``feature, value`` rows for values that are present. Only for plans that group by value next."""
     rows = F.array(
