@@ -142,8 +142,9 @@ def components(links: DataFrame) -> DataFrame:
 def _across(shared: DataFrame, sets: DataFrame, roots: DataFrame, similarity: int) -> DataFrame:
     """Untested candidate pairs between components that still meet in a key, by an exact prefix join.
 
-    Similar sets share a code among the first ``n - ceil(s * n) + 1`` of each in any common order; rare codes
-    come first. Codes found in one component only are left out before anything is paired.
+    Two sets that must have ``need`` codes in common share one among the first ``n - need + 1`` of each, in any
+    common order; rare codes come first, so that what sets that are not similar share comes too late to pair
+    them. Codes found in one component only are left out before anything is paired.
     """
     rooted = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
@@ -152,15 +153,17 @@ def _across(shared: DataFrame, sets: DataFrame, roots: DataFrame, similarity: in
     codes = open_sets.select("id", "root", F.size("codes").alias("n"), F.explode("codes").alias("code"))
     frequency = codes.groupBy("code").agg(F.count(F.lit(1)).alias("df"))
     ordered = codes.join(frequency, "code").groupBy("id", "root", "n").agg(F.sort_array(F.collect_list(F.struct("df", "code"))).alias("codes"))
-    need = F.ceil(F.col("n") * similarity / 100)
-    prefix = ordered.select("id", "root", "n", F.explode(F.slice("codes", F.lit(1), F.col("n") - need.cast("int") + 1)).alias("c"))
-    prefix = prefix.select("id", "root", "n", "c.code")
+    need = F.ceil(F.col("n") * similarity / 100)  # with the smallest or largest partner
+    prefix = ordered.select("id", "root", "n", F.posexplode(F.slice("codes", F.lit(1), F.col("n") - need.cast("int") + 1)).alias("at", "c"))
+    prefix = prefix.select("id", "root", "n", "at", "c.code")
     several = prefix.groupBy("code").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     prefix = stage(prefix.join(several.select("code"), "code", "left_semi"), "prefix")
-    a, b = (prefix.select("code", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "root", "n")]) for s in "ab")
+    a, b = (prefix.select("code", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "root", "n", "at")]) for s in "ab")
+    common = F.ceil((F.col("n_a") + F.col("n_b")) * similarity / (100 + similarity))
     met = a.join(b, "code").where(
         (F.col("root_a") < F.col("root_b"))
-        & (100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
+        & (F.col("at_a") <= F.col("n_a") - common)
+        & (F.col("at_b") <= F.col("n_b") - common)
     )
     return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
