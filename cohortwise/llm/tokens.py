@@ -12,13 +12,26 @@ import os
 import re
 import sys
 import types
+from array import array
 
 #: Pieces whose ids a worker process keeps (about 200 bytes each).
 KEPT_PIECES = 400_000
 
+#: Words whose splitting and lower case need no tables, and marks that are split from them.
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z")
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level tokenizers write for each byte: itself if it can be printed, else from 256 on."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printed]
+    return {b: b for b in printed} | {b: 256 + i for i, b in enumerate(others)}
+
+
+_BYTES = _byte_letters()
+
+
 def _of_process() -> dict:
     """A table that lives as long as the worker process, shared by its tasks."""
     return vars(sys.modules.setdefault("cohortwise_of_process", types.ModuleType("cohortwise_of_process")))
@@ -35,7 +48,9 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         #: A space belongs to the word after it, or is dropped, whichever the file's splitter does.
         self.lead = " " if self.tokenizer.encode("a b", add_special_tokens=False).ids != self.tokenizer.encode("ab", add_special_tokens=False).ids and self.tokenizer.normalizer is None else ""
-        self.pieces: dict[str, bytes | None] = {}
+        self.model = self.tokenizer.model
+        self.marks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes | bool] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -45,15 +60,36 @@ class Encoder:
         return table[path]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _cut(self, text: str) -> list[str]:
         """The first piece, then pieces that follow a space or begin with a line feed."""
-        if self.lead:
-            return text.replace("\n", " \n").split(" ")
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " \n" if self.lead else " ").split(" ")
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes | bool]:
+        """Ids of pieces that follow others; False for those that cannot be encoded alone.
+
+        Words of Latin letters, with or without marks behind, are given to the merging model itself: for them
+        the steps before it do nothing but map bytes and, in files that do so, lower the case.
+        """
+        out: list[bytes | bool] = [False] * len(pieces)
+        slow = []
+        for i, piece in enumerate(pieces):
+            if found := _WORD.match(piece):
+                word, marks = found.groups()
+                word = self.lead + word if self.lead else word.lower()
+                ids = array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTES))]).tobytes()
+                if marks:
+                    if marks not in self.marks:
+                        self.marks[marks] = self._encode([marks])[0]
+                    ids += self.marks[marks]
+                out[i] = ids
+            elif self._whole(piece):
+                slow.append(i)
+        texts = [pieces[i] if pieces[i][:1] == "\n" or not self.lead else self.lead + pieces[i] for i in slow]
+        for i, ids in zip(slow, self._encode(texts), strict=True):
+            out[i] = ids
+        return out
 
     def _whole(self, piece: str) -> bool:
         """Whether a piece from ``_cut`` is encoded alone as it is in its text."""
@@ -64,27 +100,23 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text."""
+        known, look_up = self.pieces, self.pieces.get
         cut = [self._cut(t) for t in texts]
-        pieces = self.pieces
-        wanted = {p for c in cut for p in c[1:]}.difference(pieces)
-        good = [p for p in wanted if self._whole(p)]
-        fresh: dict[str, bytes | None] = dict.fromkeys(wanted)
-        fresh.update(zip(good, self._encode([p if p[:1] == "\n" or not self.lead else self.lead + p for p in good]), strict=True))
-        if len(pieces) + len(fresh) <= KEPT_PIECES:
-            pieces.update(fresh)
-            known = pieces
-        else:
-            known = _Both(fresh, pieces)
-        firsts = self._encode([c[0] for c in cut])
+        found = [list(map(look_up, c)) for c in cut]
+        gaps = [[k for k, ids in enumerate(f) if ids is None] if None in f else () for f in found]
+        wanted = list({c[k] for c, own in zip(cut, gaps, strict=True) for k in own})
+        fresh = dict(zip(wanted, self._encode_pieces(wanted), strict=True))
+        if len(known) + len(fresh) <= KEPT_PIECES:
+            known.update(fresh)
         out, odd = [], []
-        for i, (first, c) in enumerate(zip(firsts, cut, strict=True)):
-            found = [known[p] for p in c[1:]]
-            bad = None in found or (self.lead and c[0][-1:].isspace()) or (self.lead and len(c) > 1 and not c[0])
-            if bad:
+        for i, (ids, c, f, own) in enumerate(zip(self._encode([c[0] for c in cut]), cut, found, gaps, strict=True)):
+            for k in own:
+                f[k] = fresh[c[k]]
+            f[0] = ids  # nothing stands before the first piece
+            if False in f or (self.lead and len(c) > 1 and (not c[0] or c[0][-1].isspace())):
                 odd.append(i)
-                out.append(b"")
-            else:
-                out.append(first + b"".join(found))
+                f.clear()
+            out.append(b"".join(f))
         for i, ids in zip(odd, self._odd([texts[i] for i in odd]), strict=True):
             out[i] = ids
         return out
@@ -100,13 +132,3 @@ class Encoder:
             out.append(b"".join(ids[next(at)] for _ in c))
         return out
 
-
-class _Both(dict):
-    """Lookups in a second table when the first has no entry."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__(first)
-        self.second = second
-
-    def __missing__(self, key):
-        return self.second[key]
