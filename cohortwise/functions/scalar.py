@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,14 +14,25 @@ def nan_to_null(column: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def is_missing(df: DataFrame, name: str) -> Column:
+    """Whether a cell has no reading: NULL, or NaN in a floating-point column."""
+    floating = df.schema[name].dataType.typeName() in ("float", "double")
+    return (F.col(name).isNull() | F.isnan(F.col(name))) if floating else F.col(name).isNull()
+
+
+def reading(column: Column) -> Column:
+    """A numeric column of any type with NaN replaced by NULL."""
+    return F.when(~F.isnan(column), column)
+
+
 def zero_to_null(column: Column) -> Column:
-    """A disguised zero becomes NULL; every other reading is kept as a double."""
-    return F.nullif(column.cast("double"), F.lit(0.0))
+    """A disguised zero, or NaN, becomes NULL; every other reading is kept as a double."""
+    return F.nullif(nan_to_null(column), F.lit(0.0))
 
 
 def clip(column: Column, low: float | None, high: float | None) -> Column:
-    """Limit to [low, high], keeping NULL. ``least``/``greatest`` would turn NULL into a bound."""
-    out = column
+    """Limit to [low, high]; NULL and NaN give NULL, which ``least``/``greatest`` would turn into a bound."""
+    column = out = reading(column)
     if high is not None:
         out = F.when(column > F.lit(high), F.lit(high)).otherwise(out)
     if low is not None:
@@ -33,6 +44,7 @@ def band(column: Column, edges: Sequence[float], labels: Sequence[str]) -> Colum
     """Right-closed bands: ``x <= edges[0]`` is ``labels[0]``, beyond the last edge ``labels[-1]``."""
     if len(labels) != len(edges) + 1:
         raise ValueError("a band needs one label more than it has edges")
+    column = reading(column)
     out = F.when(column <= F.lit(float(edges[0])), F.lit(labels[0]))
     for edge, label in zip(edges[1:], labels[1:]):
         out = out.when(column <= F.lit(float(edge)), F.lit(label))
@@ -46,6 +58,7 @@ def interval_number(column: Column, edges: Sequence[float]) -> Column:
     """
     if len(edges) < 2:
         return F.lit(None).cast("int")
+    column = reading(column)
     out = F.when((column < F.lit(edges[0])) | (column > F.lit(edges[-1])), F.lit(None).cast("int"))
     for number, edge in enumerate(edges[1:], start=1):
         out = out.when(column <= F.lit(edge), F.lit(number))
@@ -54,16 +67,16 @@ def interval_number(column: Column, edges: Sequence[float]) -> Column:
 
 def ratio(numerator: Column, denominator: Column) -> Column:
     """A double quotient that is NULL, not an error, when the denominator is zero."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
+    return F.try_divide(nan_to_null(numerator), nan_to_null(denominator))
 
 
 def scaled_product(left: Column, right: Column, divisor: float) -> Column:
-    return left.cast("double") * right.cast("double") / F.lit(float(divisor))
+    return nan_to_null(left) * nan_to_null(right) / F.lit(float(divisor))
 
 
 def reached(column: Column, threshold: float) -> Column:
     """1 when the reading reaches the threshold; a missing reading never does."""
-    return F.coalesce(column >= F.lit(threshold), F.lit(False)).cast("int")
+    return F.coalesce(reading(column) >= F.lit(threshold), F.lit(False)).cast("int")
 
 
 def points(tests: Mapping[str, float]) -> Column:
@@ -80,11 +93,11 @@ def class_label(target: Column, positive: str, negative: str) -> Column:
 
 def position_in_range(column: Column, low: float, high: float) -> Column:
     """0 at the declared minimum, 1 at the declared maximum."""
-    return (column.cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low))
+    return (nan_to_null(column) - F.lit(float(low))) / F.lit(float(high) - float(low))
 
 
 def decide(probability: Column, threshold: float) -> Column:
-    return (probability >= F.lit(float(threshold))).cast("int")
+    return (nan_to_null(probability) >= F.lit(float(threshold))).cast("int")
 
 
 def display_id(key: Column, pattern: str = "#P-%03d") -> Column:

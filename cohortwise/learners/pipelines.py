@@ -22,6 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import nan_to_null
 from ..operators.clean import fit_median
 from ..operators.folds import SEED, class_weights, fold_number, weight_column
 from ..operators.scale import fit_scaler
@@ -36,7 +37,7 @@ class Settings:
     iterations: int = 2000
     trees: int = 400
     min_leaf: int = 2
-    forest_depth: int = 10
+    forest_depth: int = 30
     rounds: int = 400
     step: float = 0.05
     boost_depth: int = 3
@@ -76,11 +77,11 @@ def preparation(
     A column without any reading in ``train`` has no median and becomes 0.
     """
     medians = {c: (v or 0.0) for c, v in fit_median(train, features, mode).overall.items()}
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in features}
+    filled = {c: F.coalesce(nan_to_null(F.col(c)), F.lit(medians[c])) for c in features}
     parts = []
     scaler = fit_scaler(train.select(*[e.alias(c) for c, e in filled.items()]), features, "standard") if scaled else None
     for i, c in enumerate(features):
-        text = f"coalesce(CAST(`{c}` AS DOUBLE), {medians[c]!r}D)"
+        text = f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {medians[c]!r}D)"
         if scaler:
             text = f"({text} - ({scaler.centre[c]!r}D)) / ({scaler.width[c]!r}D)"
         parts.append(f"{text} AS `{prefix}{i}`")

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import clip, nan_to_null, zero_to_null
+from ..functions.scalar import clip, is_missing, nan_to_null, zero_to_null
 from .quantiles import column_quantiles, group_quantiles, group_values
 
 IMPUTATIONS = ("median_by_group", "median", "mean", "knn")
@@ -26,7 +26,7 @@ def zeros_to_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def columns_with_missing(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
     columns = list(columns or df.columns)
-    row = df.agg(*[F.max(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    row = df.agg(*[F.max(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     return [c for i, c in enumerate(columns) if row[f"m{i}"]]
 
 
@@ -41,7 +41,7 @@ class Filler:
     def apply(self, df: DataFrame) -> DataFrame:
         out = {}
         for name in self.overall:
-            value = F.col(name).cast("double")
+            value = nan_to_null(F.col(name))
             choices = [value]
             groups = [g for g, c in self.grouped if c == name and self.grouped[g, c] is not None]
             if groups:

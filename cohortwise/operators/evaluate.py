@@ -23,8 +23,10 @@ def ranking_scores(
 ) -> DataFrame:
     """Average precision (a step sum, no interpolation) and ROC-AUC (ties count half) per score.
 
-    Rows are summed per distinct score first. All scores are handled in the same pass.
+    Rows are summed per distinct score first. All scores are handled in the same pass. Rows without a label
+    take no part.
     """
+    df = df.where(F.col(label).isNotNull())
     if not isinstance(scores, Mapping):
         scores = {name: F.col(name) for name in scores}
     distinct = distinct_estimates(df, scores)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import class_label, nan_to_null, severity
+from ..functions.scalar import class_label, is_missing, nan_to_null, severity
 from .quantiles import column_quantiles, group_quantiles
 from .shape import batched_rows, rows_of
 
@@ -130,7 +130,7 @@ def missingness(raw: DataFrame, zero_columns: Sequence[str], exclude: Sequence[s
     aggs, rows = [F.count(F.lit(1)).alias("all")], []
     for i, name in enumerate(columns):
         zero = (F.col(name) == 0) if kinds[name] in NUMERIC_TYPES else F.lit(False)
-        aggs += [F.count_if(zero).alias(f"z{i}"), F.count_if(F.col(name).isNull()).alias(f"m{i}")]
+        aggs += [F.count_if(zero).alias(f"z{i}"), F.count_if(is_missing(raw, name)).alias(f"m{i}")]
         hidden = name in zero_columns
         missing = F.col(f"z{i}") if hidden else F.col(f"m{i}")
         rows.append(
@@ -148,7 +148,7 @@ def missingness(raw: DataFrame, zero_columns: Sequence[str], exclude: Sequence[s
 
 def missing_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing percentage per column with its severity, worst first."""
-    one = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(f"m{i}") for i, c in enumerate(columns)])
+    one = df.agg(*[F.avg(is_missing(df, c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)])
     percent = [F.col(f"m{i}") * 100 for i in range(len(columns))]
     rows = [
         {"feature": F.lit(c), "missing_pct": F.round(p, 2), "severity": severity(p)}
@@ -163,7 +163,7 @@ def before_after(
     """Missing cells before cleaning next to what is left afterwards, per column."""
     first = missingness(raw, zero_columns, exclude)
     names = [c for c in raw.columns if c not in exclude and c in cleaned.columns]
-    one = cleaned.agg(*[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(names)])
+    one = cleaned.agg(*[F.count_if(is_missing(cleaned, c)).alias(f"m{i}") for i, c in enumerate(names)])
     second = rows_of(one, [{"feature": F.lit(c), "null_after": F.col(f"m{i}")} for i, c in enumerate(names)])
     return first.join(second, "feature", "left")
 

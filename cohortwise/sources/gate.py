@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import Contract
+from ..functions.scalar import is_missing
 from ..operators.shape import rows_of
 
 
@@ -43,7 +44,7 @@ def conformance(df: DataFrame, contract: Contract) -> DataFrame:
     """Per field: readings below and above the declared range, outside the domain, and missing."""
     aggs, rows = [], []
     for i, item in enumerate(f for f in (*contract.features, contract.target) if f.name in df.columns):
-        c = F.col(item.name)
+        c = F.when(~is_missing(df, item.name), F.col(item.name))
         below = c < F.lit(item.low) if item.low is not None else F.lit(False)
         above = c > F.lit(item.high) if item.high is not None else F.lit(False)
         domain = item.values or ((0, 1) if item.kind == "binary" else ())
@@ -58,7 +59,7 @@ def conformance(df: DataFrame, contract: Contract) -> DataFrame:
 def require_complete(df: DataFrame, columns: Sequence[str] | None = None) -> None:
     """Stop when any cell is missing."""
     columns = list(columns or df.columns)
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    row = df.agg(*[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
     left = {c: row[f"m{i}"] for i, c in enumerate(columns) if row[f"m{i}"]}
     if left:
         raise ValueError(f"missing cells remain: {left}")

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +11,6 @@ from pyspark.sql import functions as F
 from ..contract import Contract
 from ..functions.scalar import nan_to_null, zero_to_null
 
-#: files up to this size are hashed by the built-in expression, larger ones in a stream of blocks
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-_BLOCK = 8 * 1024 * 1024
-
 
 def read_table(
     spark: SparkSession, paths: str | Sequence[str], contract: Contract | None = None, fmt: str = "csv"
@@ -70,35 +65,13 @@ def load_first(spark: SparkSession, sources: Sequence[tuple[str, str, str]], oth
     return otherwise(), "generated"
 
 
-def file_digests(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """``path, bytes, sha256`` of every file below ``path``.
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """``path, bytes, sha256`` of every file, read through Spark's file systems whatever its size.
 
-    Files above the size limit are read block by block in a task, so no file has to fit in memory.
+    A file is one cell, so it has to stay below Spark's ``binaryFile`` limit of 2 GiB; a larger one is an error.
     """
     files = spark.read.format("binaryFile").load(path)
-    small = files.where(F.col("length") <= whole_file_bytes).select(
-        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    large = files.where(F.col("length") > whole_file_bytes).select("path", F.col("length").alias("bytes"))
-    streamed = large.mapInPandas(_stream_digests, "path string, bytes long, sha256 string")
-    return small.unionByName(streamed)
-
-
-def _stream_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import hashlib
-
-    from pyarrow import fs
-
-    for batch in batches:
-        out = []
-        for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(path)
-            digest = hashlib.sha256()
-            with system.open_input_stream(inner) as stream:
-                while block := stream.read(_BLOCK):
-                    digest.update(block)
-            out.append(digest.hexdigest())
-        yield batch.assign(sha256=out)
+    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def require_digest(spark: SparkSession, path: str, expected: str) -> None:

@@ -404,13 +404,12 @@ def test_csv_is_typed_by_name_and_gated(spark, tmp_path):
         readers.read_table(spark, str(tmp_path / "none.csv"), contract)
 
 
-def test_file_digest_whole_and_in_blocks(spark, tmp_path):
+def test_file_digest(spark, tmp_path):
     import hashlib
 
     (tmp_path / "f.bin").write_bytes(b"some bytes" * 1000)
     want = hashlib.sha256(b"some bytes" * 1000).hexdigest()
-    for limit in (10**9, 10):
-        assert column(readers.file_digests(spark, str(tmp_path), limit), "sha256") == [want]
+    assert column(readers.file_digests(spark, str(tmp_path)), "sha256") == [want]
     readers.require_digest(spark, str(tmp_path), want)
     with pytest.raises(ValueError):
         readers.require_digest(spark, str(tmp_path), "0" * 64)
@@ -457,3 +456,34 @@ def test_ranking_never_orders_raw_rows_in_one_task(numbers):
     table = ranks.value_weights(df, {"hot": F.col("hot")}, {"n": F.lit(1)})
     text = plan(ranks.running_totals(table, ["n"], {"hot": 10}))
     assert "SinglePartition" not in text and "hashpartitioning(feature" in text
+
+
+def test_nan_is_missing_everywhere(spark):
+    """A NaN reads as NULL does: nothing is limited, banded, scored or counted as present."""
+    df = spark.createDataFrame(
+        [(1, float("nan"), 0, 1), (2, None, 0, 0), (3, 0.0, 1, 0), (4, 4.0, 1, 1), (5, 8.0, 1, 1)],
+        "k long, x double, g int, n int",
+    )
+    x = F.col("x")
+    exprs = {
+        "clip": clip(x, 1.0, 6.0), "zero": zero_to_null(x), "band": band(x, [3.0], ["low", "high"]),
+        "ratio": ratio(x, F.lit(2)), "interval": interval_number(x, [0.0, 4.0, 9.0]), "points": points({"x": 6}),
+    }
+    got = [r.asDict() for r in df.orderBy("k").select(*[e.alias(n) for n, e in exprs.items()]).collect()]
+    assert got[0] == got[1] == {"clip": None, "zero": None, "band": None, "ratio": None, "interval": None, "points": 0}
+    assert got[4] == {"clip": 6.0, "zero": 8.0, "band": "high", "ratio": 4.0, "interval": 2, "points": 1}
+    for strategy, fill in (("median", 4.0), ("mean", 4.0), ("median_by_group", 4.0)):
+        assert column(clean.impute(df, strategy, ["x"], by="g").orderBy("k"), "x")[:2] == [fill, fill]
+    assert clean.columns_with_missing(df, ["x", "n"]) == ["x"]
+    missing = {r["feature"]: r["missing_count"] for r in profile.missingness(df, []).collect()}
+    assert missing == {"k": 0, "x": 2, "g": 0, "n": 0}
+    assert column(profile.missing_share(df, ["x"]), "missing_pct") == [40.0]
+    assert dict(rows(cohort.completeness(df).where("field = 'x'"))) == {"x": 0.6}
+    with pytest.raises(ValueError, match="missing cells"):
+        gate.require_complete(df, ["x"])
+
+
+def test_rows_without_a_label_take_no_part_in_ranking(spark):
+    df = spark.createDataFrame([(0.9, 1), (0.5, 0), (0.5, None), (0.7, None), (0.2, 0)], "s double, y int")
+    assert column(evaluate.average_precision(df, "y", "s"), "pr_auc") == [1.0]
+    assert column(evaluate.roc_auc(df, "y", "s"), "roc_auc") == [1.0]
