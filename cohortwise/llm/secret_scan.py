@@ -3,7 +3,7 @@
 Two first-order models over characters, one of random strings and one of ordinary identifiers, are trained
 from labelled samples. A token is random if the log-likelihood ratio of the two models is high, in total and
 per character. Labels come from the patterns (their finds are secrets), from generated digests in several
-alphabets (random), and from the words of texts (ordinary). Training reads a bounded sample of documents, in
+alphabets (random), and from words that several texts have (ordinary). Training reads a bounded sample of documents, in
 expectation ``SAMPLE_DOCS`` whole texts by a hash of the text; the models are one table with a number for each
 pair of characters of a fixed alphabet, whatever the corpus. Scanning is one pass of built-in functions over
 the whole texts, without a shuffle.
@@ -42,6 +42,8 @@ SAMPLE_DOCS = 2000
 #: Log-likelihood ratio in bits that a random token reaches, and per character.
 LEAST_BITS, LEAST_RATE = 20.0, 0.75
 _SMOOTHING = 0.25
+#: Weight, in characters, of a character's overall share against what was seen after the one before.
+_PRIOR = 8.0
 
 
 def finds(text: str, pattern: str) -> tuple[Column, Column]:
@@ -80,7 +82,11 @@ def pattern_spans(docs: DataFrame, keep: list[str], tokens: bool = True) -> Data
 
 
 def labelled_samples(docs: DataFrame) -> DataFrame:
-    """(sample, random): secrets found by the patterns and generated strings, and ordinary words."""
+    """(sample, random, n): secrets found by the patterns and generated strings, and ordinary words.
+
+    A word is ordinary if it stands in two different texts; what stands in one only may be a secret and is
+    left without a label.
+    """
     rows = docs.count()
     draw = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     some = pattern_spans(docs.select("text").where(draw < SAMPLE_DOCS / max(rows, 1)), [], tokens=False)
@@ -91,30 +97,37 @@ def labelled_samples(docs: DataFrame) -> DataFrame:
     # words inside a pattern's find are no ordinary words
     words = F.regexp_extract_all(F.regexp_replace(F.regexp_replace("__text", ASSIGN, " "), f"{ACCESS}|{HEX}", " "), F.lit(ORDINARY), F.lit(0))
     labelled = some.select(
+        F.xxhash64("__text").alias("of"),
         F.explode(
             F.concat(
                 F.transform(F.concat(secret, generated), lambda x: F.struct(x.alias("sample"), F.lit(True).alias("random"))),
                 F.transform(words, lambda x: F.struct(x.alias("sample"), F.lit(False).alias("random"))),
             )
-        ).alias("s")
+        ).alias("s"),
     )
-    return labelled.select("s.*")
+    counted = labelled.groupBy("s.sample", "s.random").agg(F.count(F.lit(1)).alias("n"), F.min("of").alias("lo"), F.max("of").alias("hi"))
+    return counted.where("random or lo < hi").select("sample", "random", "n")
 
 
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios in bits of random against ordinary, for each pair of character numbers."""
-    weighted = samples.groupBy("sample", "random").agg(F.count(F.lit(1)).alias("n"))
-    pairs = weighted.select(
+    pairs = samples.select(
         "random", "n", F.explode(F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.char_length("sample"))), lambda i: F.substring("sample", i - 1, 2))).alias("p")
     )
     code = [F.instr(F.lit(ALPHABET), F.substring("p", k, 1)) for k in (1, 2)]
     counted = pairs.where(F.char_length("p") == 2).groupBy("random", code[0].alias("a"), code[1].alias("b")).agg(F.sum("n").alias("n"))
-    counts = {True: [_SMOOTHING] * SIZE**2, False: [_SMOOTHING] * SIZE**2}
+    counts = {r: [[0.0] * SIZE for _ in range(SIZE)] for r in (True, False)}
     for random, a, b, n in counted.collect():  # at most two numbers for each pair of the alphabet
-        counts[random][a * SIZE + b] += n
-    totals = {r: [sum(c[a * SIZE : (a + 1) * SIZE]) for a in range(SIZE)] for r, c in counts.items()}
-    ratio = lambda i: math.log2(counts[True][i] / totals[True][i // SIZE]) - math.log2(counts[False][i] / totals[False][i // SIZE])
-    return [ratio(i) for i in range(SIZE**2)]
+        counts[random][a][b] += n
+    tables = {r: _transitions(c) for r, c in counts.items()}
+    return [math.log2(tables[True][i] / tables[False][i]) for i in range(SIZE**2)]
+
+
+def _transitions(counts: list[list[float]]) -> list[float]:
+    """Probabilities of each character after each other, drawn towards how common the character is at all."""
+    common = [_SMOOTHING + sum(row[b] for row in counts) for b in range(SIZE)]
+    share = [c / sum(common) for c in common]
+    return [(row[b] + _PRIOR * share[b]) / (sum(row) + _PRIOR) for row in counts for b in range(SIZE)]
 
 
 def _bits(ratios: list[float]) -> str:

@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _without(docs, neardup.near_duplicates(docs).where("not kept"))
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; all documents stay."""
     return secret_scan.redact(docs)
 
@@ -54,7 +54,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("near duplicates", near_duplicates),
-    ("secret scan", secret_scan),
+    ("secret scan", without_secrets),
     ("source mix", source_mix),
     ("packing", packing_plan),
 ]

@@ -231,7 +231,7 @@ def test_pieces_cover_every_id_once_without_padding(spark, odd_texts):
 def test_records_round_trip_and_shuffled_reads(spark, tmp_path, odd_texts):
     texts = odd_texts + [words(50, i) for i in range(200)]
     docs, path = frame(spark, texts), f"{tmp_path}/records"
-    records.write_records(docs, path, tokenizer_path(BYTES), shard_bytes=100_000)
+    records.write_records(docs, path, tokenizer_path(BYTES), shard_bytes=40_000)
     index = records.write_index(spark, path, f"{tmp_path}/index")
     ids = ids_of(texts, BYTES, 2)
     got = {r["doc_id"]: r for r in records.with_starts(index).collect()}
