@@ -3,7 +3,9 @@
 import pytest
 
 import compare
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from cohortwise.plans.oracles import ORACLES
+from cohortwise.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 WITHOUT_SQL = {"file_digests", "impute_knn", "oof_scores", "leaderboard", "training_metrics", "leakage_audit"}
@@ -15,11 +17,11 @@ def con():
 
 
 def test_only_queries_without_an_sql_form_lack_one():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
     _, _, verdict = compare.compare(spark, con, name, SF_DIR)
     assert verdict == "same"
