@@ -44,6 +44,9 @@ class ImpactIndex:
         self.postings = np.argsort(-level, axis=0, kind="stable").astype(np.int32).T  # per dimension
         self.levels = -np.sort(-level, axis=0).T
         self.values = np.take_along_axis(self.rows.T, self.postings, axis=1)
+        #: per dimension and level, how many postings have at least that level
+        self.top = int(level.max()) + 1
+        self.at_least = np.stack([np.bincount(column, minlength=self.top + 1)[::-1].cumsum()[::-1] for column in level.T])
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows, best first."""
@@ -59,13 +62,14 @@ class ImpactIndex:
         while len(possible) > few and len(used):
             bar *= FALL
             parts, sums = [], []
-            for d in used:
-                # segments whose impact is above the bar: levels beyond bar / weight
-                end = int(np.searchsorted(-self.levels[d], -(bar / weight[d] / LEVEL), side="right")) if bar >= 1 else n
-                if end > done[d]:
-                    parts.append(self.postings[d, done[d] : end])
-                    sums.append(query[d] * self.values[d, done[d] : end])
-                    done[d] = end
+            # segments whose impact is above the bar: levels beyond bar / weight
+            least = np.minimum(np.ceil(bar / (weight[used] * LEVEL)), self.top).astype(np.int64) if bar >= 1 else 0
+            ends = self.at_least[used, least]
+            grown = ends > done[used]
+            for d, end in zip(used[grown].tolist(), ends[grown].tolist(), strict=True):
+                parts.append(self.postings[d, done[d] : end])
+                sums.append(query[d] * self.values[d, done[d] : end])
+                done[d] = end
             if parts:
                 score += np.bincount(np.concatenate(parts), np.concatenate(sums), n).astype(np.int64)
             left = used[done[used] < n]
