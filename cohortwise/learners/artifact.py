@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import placeholder_score
@@ -38,6 +38,11 @@ class Scorer:
         )
 
 
+def trained_at() -> Column:
+    """Spark's clock in the session's time zone, to the second."""
+    return F.date_trunc("second", F.current_timestamp()).cast("string")
+
+
 def publish(
     spark: SparkSession, path: str, model: PipelineModel, output: str, threshold: float, features: Sequence[str]
 ) -> None:
@@ -45,9 +50,7 @@ def publish(
     facts = spark.createDataFrame(
         [(output, float(threshold), list(features))], "output string, threshold double, features array<string>"
     )
-    facts.withColumn("trained_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")).coalesce(
-        1
-    ).write.mode("overwrite").json(f"{path}/facts")
+    facts.withColumn("trained_at", trained_at()).coalesce(1).write.mode("overwrite").json(f"{path}/facts")
 
 
 def load_scorer(spark: SparkSession, path: str, features: Sequence[str]) -> Scorer:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import nan_to_null
 from ..operators.clean import fit_median
-from ..operators.folds import SEED, class_weights, fold_number, weight_column
+from ..operators.folds import SEED, class_weights, stratified_folds, weight_column
 from ..operators.scale import fit_scaler
 
 WEIGHT = "_weight"
@@ -191,10 +191,10 @@ def support_vector(features: Sequence[str], label: str, settings: Settings = Set
             ).fit(rows)
 
         margin = VectorSlicer(inputCol=f"{prefix}r", outputCol=f"{prefix}m", indices=[1])
-        folds = vectors.withColumn("_cal", fold_number("_row", settings.calibration_folds, settings.seed + 1))
+        folds = stratified_folds(vectors, "_row", label, settings.calibration_folds, settings.seed + 1)
         parts = None
         for i in range(settings.calibration_folds):
-            held = machine(folds.where(F.col("_cal") != i)).transform(folds.where(F.col("_cal") == i))
+            held = machine(folds.where(F.col("fold") != i)).transform(folds.where(F.col("fold") == i))
             held = margin.transform(held).select(f"{prefix}m", label)
             parts = held if parts is None else parts.unionByName(held)
         sigmoid = LogisticRegression(

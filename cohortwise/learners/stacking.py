@@ -21,9 +21,9 @@ def keyed(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("_row", F.col(key))
 
 
-def folded_table(df: DataFrame, key: str, label: str, folds: int, seed: int, exact: bool = True) -> DataFrame:
+def folded_table(df: DataFrame, key: str, label: str, folds: int, seed: int) -> DataFrame:
     """The table written once per fold folder, so a fold's scan never opens the other folders."""
-    return stage(stratified_folds(df, key, label, folds, seed, exact), "folds", "fold")
+    return stage(stratified_folds(df, key, label, folds, seed), "folds", "fold")
 
 
 def out_of_fold(folded: DataFrame, learners: Sequence[Learner], folds: int, keep: Sequence[str]) -> DataFrame:
@@ -44,12 +44,12 @@ def out_of_fold(folded: DataFrame, learners: Sequence[Learner], folds: int, keep
 def stacking(
     features: Sequence[str], label: str, settings: Settings = Settings(), name: str = "stacking"
 ) -> Learner:
-    """The single learners feed out-of-fold probabilities to a balanced logistic regression."""
+    """A weighted logistic regression over the level-0 columns ``p_*``, which are predicted out of fold."""
     level0 = list(candidates(features, label, settings).values())
 
     def fit(train: DataFrame) -> PipelineModel:
         base = train.drop("fold")
-        folded = folded_table(base, "_row", label, settings.stacking_folds, settings.seed + 2, exact=False)
+        folded = folded_table(base, "_row", label, settings.stacking_folds, settings.seed + 2)
         # written out, so the meta model does not run the fold models again in every iteration
         inner = stage(out_of_fold(folded, level0, settings.stacking_folds, [label]), "stacking")
         assembler = VectorAssembler(inputCols=[m.output for m in level0], outputCol="m_v")

@@ -28,7 +28,7 @@ PICK_LIMIT = 4_000_000
 #: size of the sketch that proposes cut points, and how far around a rank they are asked for
 SKETCH_SIZE = 32_768
 MARGIN = 5e-4
-#: cut points per interval that is narrowed again
+#: cut points, at most, per interval that is narrowed again
 GRID = 1024
 #: rank resolution of ``mode="approx"``
 ACCURACY = 10_000
@@ -159,13 +159,13 @@ def _narrow(
         pending = _locate(wanted, cuts, _interval_sizes(framed, cuts), known)
         if not pending:
             break
-        wide = [key for key, (size, _) in pending.items() if size > pick_limit]
-        proposed = _propose(framed, wide) if wide else {}
-        finer = {i: sorted(set(cuts[i]) | {v for v in proposed.get(i, ()) if math.isfinite(v)}) for i in cuts}
-        if finer == cuts:  # every wanted interval is small, or holds nothing that could split it
+        wide = {key: size for key, (size, _) in pending.items() if size > pick_limit}
+        proposed = _propose(framed, list(wide), _grid_for(wide, pick_limit)) if wide else {}
+        fresh = {i: {v for v in found if math.isfinite(v)} - set(cuts[i]) for i, found in proposed.items()}
+        if not any(fresh.values()):  # every wanted interval is small, or holds nothing that could split it
             known.update(_pick(framed, pending))
             break
-        cuts = finer
+        cuts = _next_cuts(pending, cuts, fresh)
 
     out: list[list[float | None]] = []
     for i, ps in enumerate(probs):
@@ -179,6 +179,19 @@ def _narrow(
     return out
 
 
+def _grid_for(wide: Mapping[tuple[int, int], int], pick_limit: int) -> int:
+    """Cut points that make the widest interval small, with room for the sketch's error."""
+    return max(8, min(GRID, 4 * math.ceil(max(wide.values()) / max(pick_limit, 1))))
+
+
+def _next_cuts(pending, cuts: dict[int, list[float]], fresh: dict[int, set[float]]) -> dict[int, list[float]]:
+    """The ends of the intervals that still hold a wanted rank, and the new cuts; all others have served."""
+    ends: dict[int, set[float]] = {}
+    for i, interval in pending:  # interval 2k lies between cuts k - 1 and k
+        ends.setdefault(i, set()).update(cuts[i][max(interval // 2 - 1, 0) : interval // 2 + 1])
+    return {i: sorted(near | fresh.get(i, set())) for i, near in ends.items()}
+
+
 def _sketch(values: DataFrame, probs: list[list[float]]) -> tuple[list[int], dict[int, list[float]]]:
     """Counts, and sketched values just below and above every asked probability, from one scan."""
     asked = [
@@ -201,7 +214,8 @@ def _sketch(values: DataFrame, probs: list[list[float]]) -> tuple[list[int], dic
 def _locate(wanted, cuts, sizes, known) -> dict[tuple[int, int], tuple[int, list[tuple[int, int]]]]:
     """Interval of every unresolved rank. Odd intervals are a single cut value and settle the rank."""
     pending: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
-    for i, ranks in wanted.items():
+    for i in cuts:
+        ranks = wanted[i]
         order = sorted(sizes[i])
         ends, total = [], 0
         for interval in order:
@@ -237,7 +251,9 @@ def _with_intervals(values: DataFrame, cuts: dict[int, list[float]]) -> DataFram
         value = F.col(f"v{i}")
         if i in cutting:
             bucket = F.col(f"b{i}").cast("int")
-            here = F.get(F.array(*[F.lit(c) for c in cuts[i]]), bucket - 1)
+            # one text that is folded to one constant, not an expression for each cut
+            ends = F.split(F.lit(",".join(map(repr, cuts[i]))), ",").cast("array<double>")
+            here = F.get(ends, bucket - 1)
             interval = F.when(here == value, 2 * bucket - 1).otherwise(2 * bucket)
         else:
             interval = _tree(value, cuts[i], 0)
@@ -295,8 +311,8 @@ def _only(framed: DataFrame, keys: Sequence[tuple[int, int]]) -> DataFrame:
     return framed.where(condition).select(F.inline(F.array(*rows))).where(F.col("value").isNotNull())
 
 
-def _propose(framed: DataFrame, keys: Sequence[tuple[int, int]]) -> dict[int, set[float]]:
-    grid = F.array(*[F.lit(j / GRID) for j in range(GRID + 1)])
+def _propose(framed: DataFrame, keys: Sequence[tuple[int, int]], steps: int) -> dict[int, set[float]]:
+    grid = F.array(*[F.lit(j / steps) for j in range(steps + 1)])
     sketch = F.kll_sketch_agg_double("value", 4 * GRID)
     rows = (
         _only(framed, keys)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import lru_cache
+from itertools import combinations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +18,6 @@ from .ranks import average_ranks, distinct_estimates, running_totals, value_weig
 
 #: a sample of at most this size, without ties, gets the exact distribution
 EXACT_SAMPLE = 8
-#: outcomes of the exact distribution that are still enumerated on the driver
-_EXACT_CELLS = 2_000_000
 
 
 def rank_sums(
@@ -54,48 +53,75 @@ def rank_sums(
     )
 
 
+@lru_cache
+def _numerator(parts: int) -> tuple[int, list[int]]:
+    """A period L, and the coefficients of the product of (1 - q^L) / (1 - q^i) over i = 1, 1, 2 ... parts."""
+    period = math.lcm(*range(1, parts + 1))
+    poly = [1]
+    for i in (1, *range(1, parts + 1)):
+        grown = [0] * (len(poly) + period - i)
+        for k in range(len(grown)):
+            new = poly[k] if k < len(poly) else 0
+            left = poly[k - period] if 0 <= k - period < len(poly) else 0
+            grown[k] = (grown[k - i] if k >= i else 0) + new - left
+        poly = grown
+    return period, poly
+
+
+def _partitions(upto: int, parts: int) -> int:
+    """Partitions of all numbers up to ``upto`` into numbers of at most ``parts``; the cost does not grow with it."""
+    period, poly = _numerator(parts)
+    return sum(poly[j] * math.comb((upto - j) // period + parts, parts) for j in range(upto % period, min(len(poly), upto + 1), period))
+
+
 def exact_p_value(u: float, n0: int, n1: int) -> float:
-    """Two-sided p of U without ties, from the counts of the Gaussian binomial coefficient."""
+    """Two-sided p of U without ties, for one sample of at most ``EXACT_SAMPLE`` and another of any size.
+
+    Outcomes with a U up to a bound are partitions in a box: partitions without the box's width, less and plus
+    those that leave it, one term for each set of factors of the Gaussian binomial coefficient.
+    """
     small, large = sorted((n0, n1))
-    size = small * large + 1
-    ways = np.zeros(size)
-    ways[0] = 1.0
-    for i in range(1, small + 1):
-        grown = ways.copy()  # multiply by 1 - q^(large + i)
-        step = large + i
-        if step < size:
-            grown[step:] -= ways[: size - step]
-        for start in range(i):  # divide by 1 - q^i: running sums at stride i
-            grown[start::i] = np.cumsum(grown[start::i])
-        ways = grown
-    larger = int(round(max(u, n0 * n1 - u)))
-    return float(min(1.0, 2 * ways[larger:].sum() / ways.sum()))
-
-
-def two_sided_p(row: Mapping) -> float | None:
-    """p of one ``rank_sums`` row: exact for a small sample without ties, else from the normal curve."""
+    if small > EXACT_SAMPLE:
+        raise ValueError(f"the exact distribution needs a sample of at most {EXACT_SAMPLE}")
+    beyond = n0 * n1 - round(max(u, n0 * n1 - u))
+    ways = 0
+    for size in range(small + 1):
+        for chosen in combinations(range(large + 1, large + small + 1), size):
+            left = beyond - sum(chosen)
+            if left >= 0:
+                ways += (-1) ** size * _partitions(left, small)
+    return min(1.0, 2 * ways / math.comb(n0 + n1, small))
+
+
+METHODS = ("auto", "exact", "asymptotic")
+
+
+def two_sided_p(row: Mapping, method: str = "auto") -> tuple[float | None, str | None]:
+    """p of one ``rank_sums`` row and how it was found.
+
+    ``auto`` is exact when one sample is at most ``EXACT_SAMPLE`` and nothing is tied, else the normal curve.
+    """
+    if method not in METHODS:
+        raise ValueError(f"unknown method: {method}")
     n0, n1 = row["n0"], row["n1"]
     if not n0 or not n1:
-        return None
-    small = min(n0, n1) <= EXACT_SAMPLE
-    if small and not row["tie_term"] and n0 * n1 <= _EXACT_CELLS:
-        return exact_p_value(row["u0"], n0, n1)
-    if row["z"] is None:
-        return 1.0
-    return min(1.0, math.erfc(row["z"] / math.sqrt(2)))
+        return None, None
+    if method == "exact" or (method == "auto" and min(n0, n1) <= EXACT_SAMPLE and not row["tie_term"]):
+        return exact_p_value(row["u0"], n0, n1), "exact"
+    return 1.0 if row["z"] is None else min(1.0, math.erfc(row["z"] / math.sqrt(2))), "asymptotic"
 
 
 def rank_tests(
-    df: DataFrame, columns: Sequence[str], target: str, bucket_rows: int | None = None
+    df: DataFrame, columns: Sequence[str], target: str, bucket_rows: int | None = None, method: str = "auto"
 ) -> DataFrame:
-    """``rank_sums`` with p and the 5 % decision; one row per feature passes through the driver."""
+    """``rank_sums`` with p, the 5 % decision and the method used; one row per feature passes through the driver."""
     sums = rank_sums(df, columns, target, bucket_rows)
     rows = []
     for r in sums.collect():
-        p = two_sided_p(r)
-        rows.append((r["feature"], r["n0"], r["n1"], r["u0"], r["z"], p, None if p is None else p < 0.05))
+        p, used = two_sided_p(r, method)
+        rows.append((r["feature"], r["n0"], r["n1"], r["u0"], r["z"], p, None if p is None else p < 0.05, used))
     return df.sparkSession.createDataFrame(
-        rows, "feature string, n0 long, n1 long, u0 double, z double, p_value double, significant boolean"
+        rows, "feature string, n0 long, n1 long, u0 double, z double, p_value double, significant boolean, method string"
     )
 
 

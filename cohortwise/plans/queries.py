@@ -333,12 +333,12 @@ LIGHT = Settings(
 
 def oof_scores(spark, sf_dir):
     learners = [logistic_regression(NUMERIC, TARGET, LIGHT)]
-    return tidy(train_job.compare(staged_readings(spark, sf_dir), KEY, TARGET, learners, 3, 42, exact=False), 4)
+    return tidy(train_job.compare(staged_readings(spark, sf_dir), KEY, TARGET, learners, 3, 42), 4)
 
 
 def leaderboard_table(spark, sf_dir):
     learners = list(candidates(NUMERIC, TARGET, LIGHT).values())
-    oof = train_job.compare(staged_readings(spark, sf_dir), KEY, TARGET, learners, 2, 42, exact=False)
+    oof = train_job.compare(staged_readings(spark, sf_dir), KEY, TARGET, learners, 2, 42)
     return tidy(leaderboard(oof, TARGET, [m.name for m in learners]), 3)
 
 

@@ -1,5 +1,7 @@
 import math
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -155,6 +157,18 @@ def test_u_statistic_against_counting(numbers):
             assert got[c].u0 == pytest.approx(pairs)
 
 
+def test_exact_p_value_at_every_size(spark):
+    for n0, n1 in ((1, 6), (3, 4), (5, 5), (2, 9)):
+        us = [sum(sum(b > a for b in range(n0 + n1) if b not in own) for a in own) for own in combinations(range(n0 + n1), n0)]
+        for u in set(us):
+            tail = sum(v >= max(u, n0 * n1 - u) for v in us)
+            assert rank_tests.exact_p_value(u, n0, n1) == pytest.approx(min(1.0, 2 * tail / len(us)))
+    near = [rank_tests.exact_p_value(1.2 * n, 2, n) for n in (10**5, 10**6, 10**12)]  # any size, no jump
+    assert max(near) - min(near) < 1e-4
+    with pytest.raises(ValueError):
+        rank_tests.exact_p_value(40, 9, 9)
+
+
 def test_exact_p_value_for_small_samples(spark):
     # all 35 ways to pick 3 ranks of 7: U >= 11 happens in 2 of them, on both sides 4
     assert rank_tests.exact_p_value(11, 3, 4) == pytest.approx(4 / 35)
@@ -288,6 +302,15 @@ def test_folded_tail_keeps_the_total(spark):
     assert [(r.c, r.records) for r in small] == [("a", 3), ("b", 2)]
 
 
+def test_a_forced_second_round_of_many_quantiles(spark):
+    df = spark.range(50_000).selectExpr("cast(xxhash64(id) % 30000 as double) AS x", "if(id < 20000, 3.0D, double(id)) AS z")
+    probs = [i / 199 for i in range(200)]
+    whole = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in "xz"]).first()
+    found = quantiles.column_quantiles(df, ["x", "z"], probs, map_limit=0, pick_limit=3)
+    for c in "xz":
+        assert found[c].values == pytest.approx(whole[c])
+
+
 def test_ordinal_levels_fold_and_null_stays_out(spark):
     df = spark.range(80).selectExpr("id % 8 AS v").unionAll(spark.sql("SELECT CAST(NULL AS BIGINT)"))
     got = cohort.ordinal_counts(df, "v").collect()
@@ -303,13 +326,18 @@ def test_sample_is_exact_and_repeatable(numbers):
     assert cohort.scatter_sample(df, "k", ["hot"], "y", 10_000).count() == 3000
 
 
-def test_planted_spike_is_found_and_a_constant_target_has_none(spark):
-    df = spark.range(400).selectExpr(
-        "if(id < 120, 999.0D, id * 1.5D) AS x", "id * 0.25D AS z", "if(id < 120, 1, cast(id % 3 = 0 as int)) AS y"
-    )
-    (spike,) = cohort.label_spikes(df, ["x", "z"], "y").collect()
-    assert (spike.field, spike.value, spike.records, spike.positive_rate) == ("x", 999.0, 120, 1.0)
-    assert not cohort.label_spikes(df.withColumn("y", F.lit(1)), ["x", "z"], "y").count()
+def test_spikes_at_the_limits_of_share_and_gap(spark):
+    # of 1000 rows a quarter is positive; -1 holds exactly 5 % and lies exactly 0.25 above, -2 holds 4.9 %
+    df = spark.sql("""SELECT CASE WHEN id < 50 THEN -1.0D WHEN id < 99 THEN -2.0D ELSE double(id) END AS x,
+        CASE WHEN id < 50 THEN id % 2 WHEN id < 99 THEN 0 ELSE int(id < 324) END AS y FROM range(1000)""")
+    assert df.agg(F.avg("y")).first()[0] == 0.25
+    (found,) = cohort.label_spikes(df, ["x", "absent"], "y").collect()
+    assert (found.field, found.value, found.records, found.positive_rate) == ("x", -1.0, 50, 0.5)
+    assert not cohort.label_spikes(df, ["x"], "y", min_gap=0.26).count()
+    assert {r.value for r in cohort.label_spikes(df, ["x"], "y", min_share=0.049).collect()} == {-1.0, -2.0}
+    rare = cohort.label_spikes(df, ["x"], "y", min_share=0.0005, min_gap=0.7)
+    assert rare.count() == 225 and rare.agg(F.min("value")).first()[0] == 99.0
+    assert not cohort.label_spikes(df.where("x is null"), ["x"], "y").count()
 
 
 def test_bands_share_ties_and_cover_all_rows(numbers):
@@ -353,14 +381,15 @@ def test_average_precision_is_a_step_sum(spark):
         assert row.pr_auc == pytest.approx(0.7) and row.roc_auc == pytest.approx(0.6111, abs=1e-4)
 
 
-def test_threshold_keeps_the_recall_floor(spark):
-    truth = [0] * 80 + [1] * 20
-    score = [*np.linspace(0, 0.6, 80), *np.linspace(0.3, 0.95, 20)]
-    df = spark.createDataFrame([(float(s), t) for s, t in zip(score, truth)], "p double, y int")
-    assert evaluate.best_threshold(df, "y", "p", 0.9).first().recall >= 0.9
-    cells = evaluate.confusion(df, "y", "p", 2.0).first()
-    assert (cells.tn, cells.fp, cells.fn, cells.tp) == (80, 0, 20, 0)
-    assert evaluate.scores_at(df, "y", "p", 2.0).first().precision == 0.0
+def test_threshold_with_ties_across_the_floor_and_without_scores(spark):
+    # three of four positives share the score 0.5 with two negatives: a threshold takes all five or none
+    rows = [(0.9, 1), (0.5, 1), (0.5, 1), (0.5, 1), (0.5, 0), (0.5, 0), (0.1, 0), (0.1, 0)]
+    df = spark.createDataFrame(rows, "p double, y int")
+    best = evaluate.best_threshold(df, "y", "p", 0.5).first()
+    assert best.recall == 1.0 and 0.1 < best.threshold <= 0.5
+    above = evaluate.confusion(df, "y", "p", 0.91).first()
+    assert (above.tn, above.fp, above.fn, above.tp) == (4, 0, 4, 0)
+    assert evaluate.scores_at(df, "y", "p", 0.91).first().precision == 0.0
 
 
 def test_split_and_folds_have_exact_class_sizes(spark):
