@@ -133,14 +133,16 @@ def mix(docs: DataFrame, limit: float | None = REPETITION_LIMIT, entropy: float
     """The mixed stream: doc_id, source, tokens, pass, block, position (in the block, from 0)."""
     sized = stage(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), token_count(F.col("text")).alias("tokens")), "sized")
     planned = stage(plan(sized, limit, entropy, budget), "plan")
-    taken = stage(passes_of(sized, planned).select("doc_id", "source", "tokens", "pass", "before", "source_tokens"), "passes")
+    taken = stage(passes_of(sized, planned).select("doc_id", "source", "tokens", "pass", "place", "before", "source_tokens"), "passes")
     ends = taken.groupBy("source").agg(F.sum("tokens").alias("taken"))
-    total = taken.agg(F.sum("tokens")).first()[0] or 0
+    # documents without tokens fill blocks too, so that no block is without bound
+    total = taken.agg(F.sum(F.greatest("tokens", F.lit(1)))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_tokens))
     ends = if_small(ends.withColumnRenamed("source", "of"))
     spread = taken.join(ends, F.col("source").eqNullSafe(F.col("of")))
     at = (F.col("pass") - 1) * F.col("source_tokens") + F.col("before")
-    block = F.least(F.floor(at.cast("double") / F.greatest("taken", F.lit(1)) * F.lit(float(blocks))).cast("long"), F.lit(blocks - 1))
+    along = F.when(F.col("taken") > 0, at.cast("double") / F.col("taken")).otherwise(F.col("place") / F.lit(float(_ORDERS)))
+    block = F.least(F.floor(along * F.lit(float(blocks))).cast("long"), F.lit(blocks - 1))
     spread = spread.withColumn("block", block)
     inside = Window.partitionBy("block").orderBy(order_of(F.col("doc_id"), F.concat_ws(".", "block", "pass")), "doc_id", "pass")
     position = (F.row_number().over(inside) - 1).cast("long")
