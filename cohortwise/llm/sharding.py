@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import if_small
+from .common import SMALL_KEYS, if_small
 
 SHARDS = 40
 ROUNDS = 3
@@ -27,6 +27,21 @@ ROUNDS = 3
 OVERHEAD = 16
 #: Rows of a slice that is ordered by one task, on average.
 SLICE_ROWS = 20_000
+#: Groups that hold more than one in so many rows are looked up by broadcast; there are fewer than this.
+HOT_GROUPS = 1000
+
+
+def _by_group(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
+    """``rows`` left-joined with ``groups`` (grp, n, ...), which has one row per group of ``n`` rows.
+
+    Rows of large groups stay where they are, and so do rows without a group; only the rest is shuffled.
+    """
+    groups = stage(groups, "groups")
+    large = F.col("n") * HOT_GROUPS > total
+    hot, rest = F.broadcast(groups.where(large).drop("n")), groups.where(~large).drop("n")
+    found = rows.join(hot, "grp")
+    others = rows.where("grp is not null").join(hot.select("grp"), "grp", "left_anti").join(if_small(rest, SMALL_KEYS), "grp", "left")
+    return found.unionByName(others).unionByName(rows.where("grp is null"), allowMissingColumns=True)
 
 
 def _ranked(df: DataFrame, keys: list[str], order: list[Column | str], name: str, slices: int) -> DataFrame:
@@ -45,23 +60,25 @@ def propagate(members: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) ->
     n = members.count()
     slices = max(1, -(-n // SLICE_ROWS))
     sizes = members.where("grp is not null").groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    marked = members.join(sizes.select("grp", F.lit(True).alias("linked")), "grp", "left")
+    marked = _by_group(members, sizes.withColumn("linked", F.lit(True)), n)
     ranked = _ranked(marked, [], ["doc_id", "grp"], "rank", slices)
     placed = ranked.withColumn("shard", F.floor(F.col("rank") * shards / F.lit(max(n, 1))).cast("int")).drop("rank")
     placed = stage(placed, "shards")
     for number in range(rounds):
-        placed, moved = _round(placed, shards, max(1, -(-n // (shards * SLICE_ROWS))), number)
+        placed, moved = _round(placed, n, shards, max(1, -(-n // (shards * SLICE_ROWS))), number)
         if not moved:
             break
     return placed.drop("linked")
 
 
-def _round(placed: DataFrame, shards: int, slices: int, number: int) -> tuple[DataFrame, int]:
+def _round(placed: DataFrame, total: int, shards: int, slices: int, number: int) -> tuple[DataFrame, int]:
     """One round of moves, and how many there were."""
     counts = placed.where("linked").groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
     # most members; ties by a hash of the group and shard, so that ties do not all go to one shard
-    goal = counts.groupBy("grp").agg(F.max_by("shard", F.struct("n", F.xxhash64("grp", "shard"))).alias("goal"))
-    wanting = placed.where("linked").join(goal, "grp").where("goal <> shard")
+    goal = counts.groupBy("grp").agg(
+        F.max_by("shard", F.struct("n", F.xxhash64("grp", "shard"))).alias("goal"), F.sum("n").alias("n")
+    )
+    wanting = _by_group(placed.where("linked"), goal, total).where("goal <> shard")
     wanting = _ranked(wanting, ["goal"], [F.xxhash64("grp"), "doc_id"], "place", slices)
     # quotas: a shard takes what leaves it, as far as it is sure to leave, and what its neutral rows make room for
     neutral = placed.where("linked is null").groupBy("shard").agg(F.count(F.lit(1)).alias("neutral"))
