@@ -83,6 +83,14 @@ def test_mix_repeats_up_to_the_limit_and_keeps_everything(spark):
     assert collections.Counter(r["doc_id"] for r in copies.collect()) == times
 
 
+def test_documents_without_tokens_are_spread_over_blocks(spark):
+    docs = frame(spark, [None, ""] * 100 + [words(5, i) for i in range(20)], sources=["blank"] * 200 + ["full"] * 20)
+    rows = mixing.mix(docs, block_tokens=50).collect()
+    assert {r["doc_id"] for r in rows} == set(range(220))
+    counts = collections.Counter(r["block"] for r in rows)
+    assert len(counts) >= 6 and max(counts.values()) <= 80
+
+
 def test_mix_with_a_budget_takes_part_of_a_source(spark):
     docs = frame(spark, [words(50, i) for i in range(100)], sources=["a"] * 80 + ["b"] * 20)
     planned = {r["source"]: r for r in mixing.plan(docs.select("source", mixing.token_count(F.col("text")).alias("tokens")), budget=2500, entropy=math.log(2)).collect()}
@@ -143,6 +151,16 @@ def test_a_group_larger_than_a_shard_fills_shards(spark):
     assert sorted(counts.values()) == [30] * 4
 
 
+def test_groups_reach_their_rows_whatever_their_size(spark):
+    values = ["hot"] * 3000 + [f"g{i % 500}" for i in range(1000)] + [None] * 50
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "row_id long, grp string")
+    groups = rows.where("grp <> 'g7' and grp is not null").groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.max("row_id").alias("last"))
+    wanted = {v: i for i, v in enumerate(values) if v not in (None, "g7")}
+    found = sharding._by_group(rows, groups, len(values)).collect()
+    assert sorted(r["row_id"] for r in found) == list(range(len(values)))
+    assert all(r["grp"] == values[r["row_id"]] and r["last"] == wanted.get(r["grp"]) for r in found)
+
+
 # --- near duplicates
 
 
