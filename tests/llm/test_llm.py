@@ -151,6 +151,36 @@ def test_a_group_larger_than_a_shard_fills_shards(spark):
     assert sorted(counts.values()) == [30] * 4
 
 
+def spans(rows, texts):
+    groups = collections.defaultdict(set)
+    for r in rows:
+        groups[texts[r["doc_id"]]].add(r["shard"])
+    return {text: len(g) for text, g in groups.items()}
+
+
+def test_groups_move_together_without_any_neutral_rows(spark):
+    texts = [f"text {i % 400}" for i in range(400 * 4)]
+    rows = sharding.shard_documents(frame(spark, texts), shards=7).collect()
+    counts = collections.Counter(r["shard"] for r in rows)
+    assert max(counts.values()) - min(counts.values()) <= 1 and set(counts) == set(range(7))
+    assert sum(n > 1 for n in spans(rows, texts).values()) <= 20
+
+
+def test_a_group_larger_than_a_shard_is_in_few_shards(spark):
+    texts = ["same"] * 500 + [f"pair {i % 250}" for i in range(500)]
+    rows = sharding.shard_documents(frame(spark, texts), shards=10).collect()
+    assert sorted(collections.Counter(r["shard"] for r in rows).values()) == [100] * 10
+    found = spans(rows, texts)
+    assert found.pop("same") <= 7 and sum(n > 1 for n in found.values()) <= 20
+
+
+def test_moves_come_back_along_cycles():
+    pairs = {(0, 1): 5, (1, 0): 3}
+    assert sharding._circulate(pairs, [0, 0]) == {(0, 1): 3, (1, 0): 3}
+    assert sharding._circulate(pairs, [0, 1]) == {(0, 1): 4, (1, 0): 3}
+    assert sharding._circulate({(0, 1): 5, (1, 2): 4, (2, 3): 3, (3, 0): 9}, [0] * 4) == dict.fromkeys([(0, 1), (1, 2), (2, 3), (3, 0)], 3)
+
+
 def test_groups_reach_their_rows_whatever_their_size(spark):
     values = ["hot"] * 3000 + [f"g{i % 500}" for i in range(1000)] + [None] * 50
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "row_id long, grp string")
