@@ -7,6 +7,9 @@ filled independently, each split into cells of bounded size that are filled inde
 has left over is fewer members than a bin takes; it is closed as sequences of a power-of-two number of
 members, whose lengths are powers of two. No sequence has padding.
 
+The ids travel with the pieces and are written as sequences; places, lengths and checksums of the result are
+taken from the written sequences. An id takes two bytes if all ids of the tokenizer fit, else four.
+
 Defined cases: a null or empty text has the end id only and is packed as one piece; repeated rows are packed
 each; other columns are ignored; an empty table gives an empty result.
 """
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +31,10 @@ CAPACITY = 2048
 END_ID = 1
 #: Pieces of a class filled together; each cell closes at most eleven partly filled bins.
 CELL_PIECES = 1 << 16
+#: Tokens of the pieces that are filled together, so that a cell of long pieces stays small too.
+CELL_TOKENS = 1 << 22
 
-_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+_PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
 def cut_lengths(tokens: int, capacity: int = CAPACITY) -> list[int]:
@@ -38,9 +44,16 @@ def cut_lengths(tokens: int, capacity: int = CAPACITY) -> list[int]:
     return [capacity] * (tokens // capacity) + parts
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
-    """The pieces of every document, with their ids as little-endian unsigned 32-bit binary if wanted."""
-    end = end_id.to_bytes(4, "little")
+def id_type(tokenizer: str, end_id: int = END_ID) -> str:
+    """The NumPy type of an id as it is written."""
+    top = max(Encoder.of(tokenizer).tokenizer.get_vocab().values(), default=0)
+    return "<u2" if max(top, end_id) < 1 << 16 else "<u4"
+
+
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+    """The pieces of every document, with their ids in ``id_type``."""
+    end, kind = end_id.to_bytes(4, "little"), id_type(tokenizer, end_id)
+    width = np.dtype(kind).itemsize
 
     def run(batches):
         encoder = Encoder.of(tokenizer)
@@ -50,15 +63,14 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             for part, some in chunks(ids, texts):
                 rows = []
                 for doc_id, encoded in zip(part, encoder.encode(some), strict=True):
-                    encoded += end
-                    total, start = len(encoded) // 4, 0
+                    encoded = np.frombuffer(encoded + end, "<u4").astype(kind).tobytes()
+                    total, start = len(encoded) // width, 0
                     for length in cut_lengths(total, capacity):
-                        piece = encoded[4 * start : 4 * (start + length)]
-                        rows.append((doc_id, start, length, zlib.crc32(piece), total, piece if with_ids else None))
+                        rows.append((doc_id, start, length, total, encoded[width * start : width * (start + length)]))
                         start += length
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 5 + [pa.binary()], strict=True)],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"],
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.binary()], strict=True)],
+                    names=["doc_id", "start", "length", "doc_tokens", "ids"],
                 )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _PIECES)
@@ -72,7 +84,7 @@ def fill(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     split at powers of two.
     """
     classes = found.groupBy("length").agg(F.count(F.lit(1)).alias("class_n"))
-    classes = classes.withColumn("cells", F.ceil(F.col("class_n") / CELL_PIECES))
+    classes = classes.withColumn("cells", F.ceil(F.greatest(F.col("class_n") / CELL_PIECES, F.col("class_n") * F.col("length") / CELL_TOKENS)))
     keyed = found.join(F.broadcast(classes), "length")  # one row per power of two
     keyed = keyed.withColumn("cell", F.expr("pmod(xxhash64(doc_id, start), cells)")).drop("class_n", "cells")
     cell = Window.partitionBy("length", "cell")
@@ -105,8 +117,46 @@ def _place(members, capacity: int) -> dict:
     }
 
 
+def sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+    """The packed sequences: sequence_id, ids in ``id_type``, and the pieces (doc_id, start, doc_tokens) in their order.
+
+    The pieces of a sequence are equally long, so their places follow from their number.
+    """
+    found = stage(pieces(docs, tokenizer, capacity, end_id), "pieces", codec="zstd")
+    # a sequence is within a cell, so its pieces are together already
+    members = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "start", "doc_tokens", "ids"))).alias("members")
+    joined = fill(found, capacity).groupBy("length", "cell", "sequence_id").agg(members)
+    ids = F.expr("aggregate(members, X'', (ids, m) -> concat(ids, m.ids))").alias("ids")
+    held = F.expr("transform(members, m -> struct(m.doc_id, m.start, m.doc_tokens))").alias("pieces")
+    return joined.select("sequence_id", ids, held)
+
+
+def pieces_of(written: DataFrame, kind: str, with_ids: bool = True) -> DataFrame:
+    """Every piece of the sequences with its place and checksum, the ids as little-endian unsigned 32-bit binary."""
+    width = np.dtype(kind).itemsize
+    each = written.withColumn("length", F.expr(f"octet_length(ids) div ({width} * size(pieces))"))
+    cut = "struct(p.doc_id, p.start, length, p.doc_tokens, sequence_id, i * length as offset, "
+    cut += f"substring(ids, int(i * length * {width} + 1), int(length * {width})) as ids)"
+    each = each.select(F.expr(f"inline(transform(pieces, (p, i) -> {cut}))"))
+
+    def run(batches):
+        for batch in batches:
+            wide = [np.frombuffer(x, kind).astype("<u4").tobytes() for x in batch.column("ids").to_pylist()]
+            columns = {c: batch.column(c) for c in ("doc_id", "start", "length")}
+            columns["ids_crc32"] = pa.array(map(zlib.crc32, wide), pa.int64())
+            columns |= {c: batch.column(c) for c in ("doc_tokens", "sequence_id", "offset")}
+            if with_ids:
+                columns["ids"] = pa.array(wide, pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return each.mapInArrow(run, schema + ", ids binary" * with_ids)
+
+
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
-    """Every piece with its place: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids."""
-    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
-    found = stage(pieces(docs, tokenizer, capacity, end_id, with_ids).select(*columns), "pieces")
-    return fill(found, capacity).select(*columns[:5], "sequence_id", "offset", *columns[5:])
+    """Every piece with its place: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
+
+    Sequences are written with their ids; ``with_ids`` tells whether the result repeats them.
+    """
+    written = stage(sequences(docs, tokenizer, capacity, end_id), "sequences", codec="zstd")
+    return pieces_of(written, id_type(tokenizer, end_id), with_ids)

@@ -37,11 +37,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` once and return a scan of the written table."""
+def stage(df: DataFrame, name: str, partition_by: str | None = None, codec: str | None = None) -> DataFrame:
+    """Write ``df`` once, compressed by ``codec`` or as the session says, and return a scan of the written table."""
     spark = df.sparkSession
     path = new_path(spark, name)
     writer = df.write
+    if codec:
+        writer = writer.option("compression", codec)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

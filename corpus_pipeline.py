@@ -45,8 +45,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_plan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and their places in sequences."""
-    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), with_ids=False)
+    """Pieces of documents with their ids and their places in sequences."""
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

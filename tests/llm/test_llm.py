@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
 
 import compare  # noqa: E402
+import corpus_pipeline  # noqa: E402
 from cohortwise.llm import langid, mixing, neardup, packing, quality, records, secret_scan, sharding, substrings, topk  # noqa: E402
 from cohortwise.llm.queries import ORACLES, QUERIES, tokenizer_path  # noqa: E402
 
@@ -276,6 +277,27 @@ def test_pieces_cover_every_id_once_without_padding(spark, odd_texts):
             assert at == totals[key] if totals else (at <= 2048 and at & (at - 1) == 0)
 
 
+def test_sequences_hold_the_ids_of_their_pieces(spark, odd_texts):
+    texts = odd_texts + [words(n, n) for n in range(1, 400, 7)]
+    docs, kind = frame(spark, texts), packing.id_type(tokenizer_path(CLIP))
+    written = packing.sequences(docs, tokenizer_path(CLIP)).collect()
+    ids = ids_of(texts, CLIP, 1)
+    assert sum(len(r["ids"]) for r in written) == np.dtype(kind).itemsize * sum(map(len, ids))
+    assert len({r["sequence_id"] for r in written}) == len(written)
+    for r in written:
+        got = np.frombuffer(r["ids"], kind)
+        length = len(got) // len(r["pieces"])
+        assert len(got) <= 2048 and got.tolist() == [x for p in r["pieces"] for x in ids[p["doc_id"]][p["start"] : p["start"] + length].tolist()]
+
+
+def test_the_pipeline_ends_with_token_ids(spark):
+    texts = ["some words of a text", "other words"]
+    rows = dict(corpus_pipeline.STAGES)["packing"](spark, frame(spark, texts), SF_DIR).collect()
+    ids = ids_of(texts, CLIP, 1)
+    for r in rows:
+        assert bytes(r["ids"]) == ids[r["doc_id"]][r["start"] : r["start"] + r["length"]].tobytes()
+
+
 def test_records_round_trip_and_shuffled_reads(spark, tmp_path, odd_texts):
     texts = odd_texts + [words(50, i) for i in range(200)]
     docs, path = frame(spark, texts), f"{tmp_path}/records"
