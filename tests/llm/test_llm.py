@@ -247,6 +247,16 @@ def test_copies_around_the_limit_lose_no_link(spark):
                 assert got[a] == got[b]
 
 
+def test_isolated_pairs_at_the_limit_lose_no_link(spark):
+    """Pairs of 45 shingles of which 40 are common, 100 * 40 = 80 * 50, that are like no other text."""
+    texts = []
+    for i in range(3000):
+        own = [f"p{i}x{k}" for k in range(48)]
+        texts += [" ".join(own), " ".join([*own[:43], *[f"q{i}x{k}" for k in range(5)]])]
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame(spark, texts), width=4).collect()}
+    assert [i for i in range(3000) if not got[2 * i] == got[2 * i + 1] == 2 * i] == []
+
+
 # --- packing and records
 
 
