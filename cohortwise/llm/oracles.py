@@ -100,4 +100,93 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
 ) WHERE rank <= 10
 """
 
-ORACLES = {"op1_mix": _MIX, "op4_near_duplicates": _NEAR, "op7_substrings": _SUBSTRINGS, "op8_top_k": _TOP_K}
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a short ASCII string, bit by bit."""
+    step = f"xor(c >> 1, xor(c & 1, (ascii(({text})[i // 8 + 1]) >> (i % 8)) & 1) * 3988292384)"
+    steps = f"list_prepend(4294967295::BIGINT, range(8 * length({text})))"
+    return f"xor(list_reduce({steps}, lambda c, i: {step}), 4294967295::BIGINT)"
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _leaf(text: str) -> str:
+    fields = [f"{c}::VARCHAR" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+_MANIFEST = rf"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, coalesce(':' || lang, '-') AS grp, {_leaf("text")} AS leaf,
+        CASE WHEN doc_id IS NOT NULL AND {_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf(_LOWER)} END AS changed
+    FROM documents
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM leaves
+), low(grp, level, pos, n, node) AS (
+    SELECT grp, 0, pos, n, leaf FROM placed
+    UNION ALL
+    SELECT grp, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY grp, level, pos // 8, n
+), tops AS (
+    SELECT grp, node AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1
+), high(level, pos, n, node) AS (
+    SELECT 0, pos, n, subroot FROM tops
+    UNION ALL
+    SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY level, pos // 8, n
+), root AS (SELECT node AS root FROM high WHERE n = 1),
+steps AS (
+    SELECT p.grp, p.pos AS own, l.level, l.pos, l.node FROM placed p JOIN low l ON l.grp = p.grp AND l.n > 1 AND l.pos // 8 = (p.pos // (8 ** l.level)::BIGINT) // 8
+    UNION ALL
+    SELECT p.grp, p.pos, 1000 + h.level, h.pos, h.node FROM placed p JOIN tops t USING (grp) JOIN high h ON h.n > 1 AND h.pos // 8 = (t.pos // (8 ** h.level)::BIGINT) // 8
+), sides AS (
+    SELECT s.grp, s.own, s.level,
+        coalesce(string_agg(s.node, '' ORDER BY s.pos) FILTER (s.pos < m.me), '') AS l, coalesce(string_agg(s.node, '' ORDER BY s.pos) FILTER (s.pos > m.me), '') AS r
+    FROM steps s JOIN tops t USING (grp), LATERAL (SELECT CASE WHEN s.level < 1000 THEN s.own // (8 ** s.level)::BIGINT ELSE t.pos // (8 ** (s.level - 1000))::BIGINT END AS me) m
+    GROUP BY s.grp, s.own, s.level
+), paths AS (
+    SELECT grp, own, sha256(string_agg(l || r, '' ORDER BY level)) AS proof, list({{'l': l, 'r': r}} ORDER BY level) AS path FROM sides GROUP BY grp, own
+), folds(grp, own, path, node, step) AS (
+    SELECT p.grp, p.pos, path, coalesce(changed, leaf), 1 FROM placed p LEFT JOIN paths q ON q.grp = p.grp AND q.own = p.pos
+    UNION ALL
+    SELECT grp, own, path, sha256(path[step].l || node || path[step].r), step + 1 FROM folds WHERE step <= len(path)
+)
+SELECT p.doc_id, p.leaf, t.subroot, r.root, coalesce(q.proof, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = r.root AS verified
+FROM placed p JOIN tops t USING (grp) CROSS JOIN root r LEFT JOIN paths q ON q.grp = p.grp AND q.own = p.pos
+JOIN folds f ON f.grp = p.grp AND f.own = p.pos AND f.step = coalesce(len(f.path), 0) + 1
+"""
+
+_PREFIXES = rf"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), original AS (
+    SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY pos) AS t FROM turns GROUP BY conv_id
+), shared AS (
+    SELECT conv_id, t, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM original
+), rebuilt AS (
+    SELECT s.conv_id, list_concat(coalesce(list_slice(o.t, 1, s.h), []), list_slice(s.t, s.h + 1, len(s.t))) AS t
+    FROM shared s LEFT JOIN original o ON o.conv_id = s.conv_id - s.conv_id % 20
+), steps AS (
+    SELECT conv_id, d, len(t) AS size, list_slice(t, 1, d) AS prefix, t[d].text AS last FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT prefix, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(len(regexp_extract_all(any_value(last), '[^\x20\x09-\x0D]+')), 0) AS words,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256
+    FROM steps GROUP BY prefix, d
+), family AS (
+    SELECT p.prefix, count(*) FILTER (c.depth = p.depth + 1) AS n_children, sum((c.n_convs - 1) * c.words)::BIGINT AS saved_tokens, list(c.prefix) AS below
+    FROM nodes p JOIN nodes c ON c.depth >= p.depth AND list_slice(c.prefix, 1, p.depth) = p.prefix GROUP BY p.prefix
+), leaves AS (
+    SELECT f.prefix, count(*) FILTER (g.n_children = 0) AS n_leaves
+    FROM (SELECT prefix, unnest(below) AS b FROM family) f JOIN family g ON g.prefix = f.b GROUP BY f.prefix
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, f.n_children, l.n_leaves, f.saved_tokens, n.ends_sha256
+FROM nodes n JOIN family f ON f.prefix = n.prefix JOIN leaves l ON l.prefix = n.prefix
+LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.prefix = list_slice(n.prefix, 1, n.depth - 1)
+"""
+
+ORACLES = {
+    "op1_mix": _MIX, "op4_near_duplicates": _NEAR, "op7_substrings": _SUBSTRINGS, "op8_top_k": _TOP_K,
+    "op11_prefix_trie": _PREFIXES, "op12_manifest": _MANIFEST,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neardup, packing, quality, records, secret_scan, sharding, substrings, topk
+from . import langid, merkle, mixing, neardup, packing, quality, records, secret_scan, sharding, simhash, substrings, topk, trie
 from .common import read
 from .oracles import ORACLES as ORACLES
 
@@ -63,10 +63,23 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_nodes(read(spark, sf_dir, "conversations"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(read(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix, op2_secrets, op3_sharding, op4_near_duplicates, op5_packing,
         op6_records, op7_substrings, op8_top_k, op9_quality, op10_language,
+        op11_prefix_trie, op12_manifest, op13_simhash,
     )
 }
