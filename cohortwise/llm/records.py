@@ -4,18 +4,19 @@ A file is a run of records and a record is
 
     length of the payload   8 bytes, little-endian
     masked checksum of them 4 bytes
-    payload                 doc_id (8 bytes, signed), then the ids (2 bytes each, or 4 if ``wide``)
+    payload                 1 or 0 for a doc_id or none, doc_id (8 bytes, signed), then the ids (2 bytes each, or 4 if ``wide``)
     masked checksum of it   4 bytes
     line feed               1 byte, the row end of Spark's writer
 
 The checksum is CRC-32 (zlib), masked by a rotation and a constant so that data that contain checksums are
-safe. Files lie in folders ``shard=N`` whose order, and the order of records inside, is that of doc_id. They
-are written by Spark's own text writer and its commit protocol, and read by its binary file reader, so any
+safe. Files lie in folders ``shard=N`` whose order, and the order of records inside, is that of doc_id (null
+first, repeated ids by a hash of the text). Files are cut at row quantiles of that order, so sparse or repeated ids make no large file.
+``wide`` follows from the tokenizer's largest id. They are written by Spark's own text writer and its commit protocol, and read by its binary file reader, so any
 store that Spark reaches will do and a lost task leaves nothing behind. The index has one row per record:
 shard, record, position, bytes, doc_id, n_tokens, ids_crc32.
 
-Defined cases: null and empty texts have the end id only; rows with one doc_id are written each; other columns
-are ignored; an empty table gives no records.
+Defined cases: null and empty texts have the end id only; rows with one doc_id, or with none, are written each;
+other columns are ignored; an empty table gives no records.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ from .tokens import Encoder
 END_ID = 2
 #: Bytes of text per file, on average.
 SHARD_BYTES = 16 << 20
+#: Rows that are turned into Python objects at a time.
+SLICE_ROWS = 256
+_ID = "<?q"
+_ID_BYTES = struct.calcsize(_ID)
 
 _INDEX = "shard long, record long, position long, bytes long, doc_id long, n_tokens long, ids_crc32 long"
 
@@ -49,7 +54,7 @@ def frame(payload: bytes) -> bytes:
     return length + struct.pack("<I", masked(length)) + payload + struct.pack("<I", masked(payload))
 
 
-def parse(content: bytes, wide: bool):
+def parse(content: bytes | memoryview, wide: bool):
     """(position, bytes, doc_id, ids) of every record; a wrong checksum is an error."""
     at = 0
     while at < len(content):
@@ -58,65 +63,51 @@ def parse(content: bytes, wide: bool):
         (found,) = struct.unpack_from("<I", content, at + 12 + length)
         if check != masked(content[at : at + 8]) or found != masked(payload):
             raise ValueError(f"damaged record at byte {at}")
-        ids = np.frombuffer(payload, "<u4" if wide else "<u2", offset=8)
-        yield at, length + 16, struct.unpack_from("<q", payload)[0], ids.astype("<u4")
+        ids = np.frombuffer(payload, "<u4" if wide else "<u2", offset=_ID_BYTES)
+        known, doc_id = struct.unpack_from(_ID, payload)
+        yield at, length + 16, doc_id if known else None, ids.astype("<u4")
         at += length + 17
 
 
-def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, wide: bool = False, shard_bytes: int = SHARD_BYTES) -> None:
+def is_wide(tokenizer: str, end_id: int = END_ID) -> bool:
+    """Whether an id needs four bytes."""
+    return max(Encoder.of(tokenizer).tokenizer.get_vocab().values(), default=0) >= 1 << 16 or end_id >= 1 << 16
+
+
+def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode every text and write the files of ``docs`` in ascending order of doc_id.
 
-    Bounds of the files come from one pass over ids and lengths: byte totals per range of ids, cut at equal
-    totals. Texts are moved once, to the task that writes their file.
+    Texts are moved once, to the task that writes their file: a range of (doc_id, hash of the text, row).
     """
-    spark = docs.sparkSession
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    bounded = sized.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.sum(F.octet_length("text")).alias("b")).first()
-    if bounded["lo"] is None:
-        spark.createDataFrame([], "value string, shard long").write.partitionBy("shard").text(path)
-        return
-    shards = max(1, -(-(bounded["b"] or 1) // shard_bytes))
-    cuts = _equal_cuts(sized, bounded["lo"], bounded["hi"], shards)
-    edges = F.broadcast(cuts)  # one row per file
-    lo, step = bounded["lo"], _step(bounded["lo"], bounded["hi"], shards)
-    ranged = sized.withColumn("cell", F.floor((F.col("doc_id") - lo) / step)).join(edges, "cell").drop("cell")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 4)
-    dealt = ranged.repartition(parts, "shard").sortWithinPartitions("shard", "doc_id")
-    end, kind = end_id.to_bytes(4, "little"), "<u4" if wide else "<u2"
+    total = sized.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
+    tied = sized.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    order = ["doc_id", "tie", "row"]
+    dealt = tied.repartitionByRange(max(1, -(-total // shard_bytes)), *order).sortWithinPartitions(*order)
+    dealt = dealt.select("doc_id", "text", F.spark_partition_id().cast("long").alias("shard"))
+    end, kind = end_id.to_bytes(4, "little"), "<u4" if is_wide(tokenizer, end_id) else "<u2"
 
     def run(batches):
         encoder = Encoder.of(tokenizer)
-        for batch in batches:
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id")), strict=True))
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for part, some in chunks(rows, texts):
-                framed = [
-                    frame(struct.pack("<q", doc_id) + np.frombuffer(ids + end, "<u4").astype(kind).tobytes())
-                    for (_, doc_id), ids in zip(part, encoder.encode(some), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(framed, pa.binary()), pa.array([s for s, _ in part], pa.int64())], names=["value", "shard"]
-                )
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(start, SLICE_ROWS)
+                rows = list(zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id")), strict=True))
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                for part, some in chunks(rows, texts):
+                    framed = [
+                        frame(struct.pack(_ID, doc_id is not None, doc_id or 0) + np.frombuffer(ids + end, "<u4").astype(kind).tobytes())
+                        for (_, doc_id), ids in zip(part, encoder.encode(some), strict=True)
+                    ]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(framed, pa.binary()), pa.array([s for s, _ in part], pa.int64())], names=["value", "shard"]
+                    )
 
     encoded = dealt.mapInArrow(run, "value binary, shard long")
     # the text writer writes a string's bytes as they are
     encoded.select(F.col("value").cast("string"), "shard").write.partitionBy("shard").text(path)
 
 
-def _step(lo: int, hi: int, shards: int) -> int:
-    """Width of the id ranges that bytes are counted by: about sixteen for each file."""
-    return max(1, -(-(hi - lo + 1) // (16 * shards)))
-
-
-def _equal_cuts(sized: DataFrame, lo: int, hi: int, shards: int) -> DataFrame:
-    """(cell, shard): ranges of doc_id in order, gathered to files of about equal bytes."""
-    step = _step(lo, hi, shards)
-    cells = sized.groupBy(F.floor((F.col("doc_id") - lo) / step).alias("cell")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16).alias("b"))
-    before = F.coalesce(F.sum("b").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    whole = F.sum("b").over(Window.partitionBy(F.lit(0)))
-    return cells.select("cell", F.floor(before * shards / whole).alias("shard"))
-
-
 def scan_records(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
     """The index of the files, made from their records with every checksum tested."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
@@ -126,8 +117,8 @@ def scan_records(spark: SparkSession, path: str, wide: bool = False) -> DataFram
         for batch in batches:
             for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
                 rows = [
-                    (shard, k, at, size, doc_id, len(ids), zlib.crc32(ids.tobytes()))
-                    for k, (at, size, doc_id, ids) in enumerate(parse(content.as_py(), wide))
+                    (shard, k, at, size, doc_id, len(ids), zlib.crc32(ids))
+                    for k, (at, size, doc_id, ids) in enumerate(parse(memoryview(content.as_buffer()), wide))
                 ]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
@@ -160,7 +151,7 @@ def shuffled_read(spark: SparkSession, path: str, index: DataFrame, seed: int, w
     def run(key, left, right):
         rows = []
         for content in right.column("content"):
-            content = content.as_py()
+            content = memoryview(content.as_buffer())
             for at, size, order in zip(*(left.column(c).to_pylist() for c in ("position", "bytes", "order")), strict=True):
                 _, _, doc_id, ids = next(parse(content[at : at + size], wide))
                 rows.append((order, doc_id, ids.tolist()))
@@ -177,5 +168,5 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     spark = docs.sparkSession
     path = new_path(spark, "records")
     write_records(docs, path, tokenizer)
-    index = write_index(spark, path, new_path(spark, "records-index"))
+    index = write_index(spark, path, new_path(spark, "records-index"), is_wide(tokenizer))
     return with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -3,7 +3,8 @@
 The tokenizers used here split a text before merging, and never join letters across a space that stands
 between two other characters. Texts are therefore cut at such spaces, the ids of each piece are kept in a
 bounded table of the worker process, and a text's ids are the concatenation of its pieces' ids. Whatever can
-not be cut safely is encoded in one go. The result equals ``encode(text, add_special_tokens=False)``.
+not be cut safely is encoded in one go. Added tokens in a text stand for themselves, as the file says; the text
+between them is encoded by itself. The result equals ``encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ import sys
 import types
 from array import array
 
-#: Pieces whose ids a worker process keeps (about 200 bytes each).
-KEPT_PIECES = 400_000
+#: Pieces (about 200 bytes each) that a worker process keeps before those not met since the last time are dropped.
+KEPT_PIECES = 150_000
 
 #: Words whose splitting and lower case need no tables, and marks that are split from them.
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z")
@@ -45,12 +46,24 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder()
+        flags = ("normalized", "lstrip", "rstrip", "single_word")
+        #: Added tokens that are cut out of a text as they stand, and the others, whose texts are encoded whole.
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items() if not any(getattr(t, f) for f in flags)}
+        bound = [t.content for t in added.values() if t.content not in self.added]
+        self.cuts = self._any_of(self.added)
+        self.whole = self._any_of(bound, re.IGNORECASE)
         #: A space belongs to the word after it, or is dropped, whichever the file's splitter does.
         self.lead = " " if self.tokenizer.encode("a b", add_special_tokens=False).ids != self.tokenizer.encode("ab", add_special_tokens=False).ids and self.tokenizer.normalizer is None else ""
         self.model = self.tokenizer.model
         self.marks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
+
+    @staticmethod
+    def _any_of(strings, flags: int = 0) -> re.Pattern | None:
+        longest_first = sorted(strings, key=len, reverse=True)
+        return re.compile("(" + "|".join(map(re.escape, longest_first)) + ")", flags) if longest_first else None
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -100,14 +113,27 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text."""
+        if self.whole and any(map(self.whole.search, texts)):
+            return [self._encode([t])[0] if self.whole.search(t) else self.encode([t])[0] for t in texts]
+        if not self.cuts or not any(map(self.cuts.search, texts)):
+            return self._plain(texts)
+        parts = [self.cuts.split(t) for t in texts]  # text, token, text, ...
+        ids = iter(self._plain([p for part in parts for p in part[::2]]))
+        return [b"".join(self.added[p] if k % 2 else next(ids) for k, p in enumerate(part)) for part in parts]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts without added tokens."""
+        if len(self.pieces) > KEPT_PIECES:
+            self.pieces, self.older = {}, self.pieces
         known, look_up = self.pieces, self.pieces.get
         cut = [self._cut(t) for t in texts]
         found = [list(map(look_up, c)) for c in cut]
         gaps = [[k for k, ids in enumerate(f) if ids is None] if None in f else () for f in found]
-        wanted = list({c[k] for c, own in zip(cut, gaps, strict=True) for k in own})
-        fresh = dict(zip(wanted, self._encode_pieces(wanted), strict=True))
-        if len(known) + len(fresh) <= KEPT_PIECES:
-            known.update(fresh)
+        fresh = dict.fromkeys(c[k] for c, own in zip(cut, gaps, strict=True) for k in own)
+        fresh.update((piece, self.older[piece]) for piece in fresh.keys() & self.older.keys())
+        wanted = [piece for piece, ids in fresh.items() if ids is None]
+        fresh.update(zip(wanted, self._encode_pieces(wanted), strict=True))
+        known.update(fresh)
         out, odd = [], []
         for i, (ids, c, f, own) in enumerate(zip(self._encode([c[0] for c in cut]), cut, found, gaps, strict=True)):
             for k in own:

@@ -48,7 +48,7 @@ def odd_texts():
     return [
         None, "", " \t\n ", "one", "one", "Ünï côdé 北京   x y", base, base, base + " tail", "A" * 50_000,
         "a  b\n\n c\td \r\n e", long, long + " more", "the the the the " * 30, "<|endoftext|> it's 12 o'clock\n",
-        "x\x1cy\x85z", " lead", "trail ", words(40, 3).replace(" ", "\n"),
+        "<|endoftext|><|startoftext|> x<|endoftext|>y  <|ENDOFTEXT|> ", "x\x1cy\x85z", " lead", "trail ", words(40, 3).replace(" ", "\n"),
     ]
 
 
@@ -264,7 +264,6 @@ def ids_of(texts, name, end):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path(name))
-    tokenizer.encode_special_tokens = True
     return [np.array([*e.ids, end], "<u4") for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -326,8 +325,35 @@ def test_records_round_trip_and_shuffled_reads(spark, tmp_path, odd_texts):
     assert all(r["ids"] == ids[r["doc_id"]].tolist() for r in one) and len(one) == len(texts)
 
 
+def test_records_of_null_sparse_and_repeated_ids(spark, tmp_path):
+    rnd = random.Random(9)
+    given = [(rnd.choice([None, 5, 5, 10**17, rnd.randrange(1000)]), words(20, i) if i % 9 else None) for i in range(400)]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    records.write_records(docs, f"{tmp_path}/records", tokenizer_path(BYTES), shard_bytes=3_000)
+    found = records.with_starts(records.scan_records(spark, f"{tmp_path}/records")).collect()
+    ids = [own.tobytes() for own in ids_of([t for _, t in given], BYTES, 2)]
+    sort = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    want = sorted(((i, len(x) // 4, zlib.crc32(x)) for (i, _), x in zip(given, ids, strict=True)), key=sort)
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in found), key=sort) == want
+    found.sort(key=lambda r: r["start"])
+    assert [r["doc_id"] for r in found] == [i for i, *_ in want]
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(found, found[1:], strict=False))
+    files = collections.Counter(r["shard"] for r in found)
+    assert len(files) > 8 and max(files.values()) < 100
+
+
+def test_pieces_are_kept_within_bounds(spark, monkeypatch):
+    from cohortwise.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 40)
+    encoder, texts = tokens.Encoder(tokenizer_path(BYTES)), [words(30, i, 90) for i in range(60)]
+    for text, own in zip(texts, ids_of(texts, BYTES, 2), strict=True):
+        assert encoder.encode([text])[0] == own[:-1].tobytes()
+        assert len(encoder.pieces) <= 40 + 30 and len(encoder.older) <= 40 + 30
+
+
 def test_a_damaged_record_is_an_error():
-    data = bytearray(records.frame(b"01234567ab") + b"\n")
+    data = bytearray(records.frame(b"\x0101234567ab") + b"\n")
     assert [x[2] for x in records.parse(bytes(data), False)] == [int.from_bytes(b"01234567", "little")]
     data[15] ^= 1
     with pytest.raises(ValueError, match="damaged"):
