@@ -38,6 +38,9 @@ SEGMENTS = 2
 #: Bytes of a text whose words are held as objects at a time.
 SLICE_BYTES = 1 << 18
 
+#: Fingerprints whose entries one task makes.
+MEMBER_ROWS = 20_000
+
 _BLANKS = b" \t\n\x0b\x0c\r"
 
 
@@ -98,6 +101,8 @@ def verified(links: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def table_matches(members: DataFrame) -> DataFrame:
     """Links (a, b) between members (fp) that share an entry, one for each holder beside the smallest."""
+    # written members are few bytes for many entries: they are dealt out by their number
+    members = members.repartition(max(1, -(-members.count() // MEMBER_ROWS)))
     # an entry of one table can be a centre, or another table's entry, of the other side: all tables are matched at once
     held = members.select("fp", F.explode(entries(F.col("fp"))).alias("key")).groupBy("key").agg(F.collect_set("fp").alias("holders"))
     first = F.array_min("holders")
