@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,18 @@ def if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.select(F.lit(1)).limit(rows + 1).count() <= rows else df
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Actions inside hand at most ``rows`` rows to Python at once, so that long texts stay a few megabytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before) if int(before) > 0 else rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit of 64-bit integers over all output bits (the splitmix64 finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

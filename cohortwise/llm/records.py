@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import new_path
-from .common import chunks, if_small
+from .common import arrow_rows, chunks, if_small
 from .tokens import Encoder
 
 END_ID = 2
 #: Bytes of text per file, on average.
 SHARD_BYTES = 16 << 20
-#: Rows that are turned into Python objects at a time.
-SLICE_ROWS = 256
+#: Rows that a worker gets at a time.
+BATCH_ROWS = 512
 _ID = "<?q"
 _ID_BYTES = struct.calcsize(_ID)
 
@@ -89,23 +89,22 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_
 
     def run(batches):
         encoder = Encoder.of(tokenizer)
-        for whole in batches:
-            for start in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(start, SLICE_ROWS)
-                rows = list(zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id")), strict=True))
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                for part, some in chunks(rows, texts):
-                    framed = [
-                        frame(struct.pack(_ID, doc_id is not None, doc_id or 0) + np.frombuffer(ids + end, "<u4").astype(kind).tobytes())
-                        for (_, doc_id), ids in zip(part, encoder.encode(some), strict=True)
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(framed, pa.binary()), pa.array([s for s, _ in part], pa.int64())], names=["value", "shard"]
-                    )
+        for batch in batches:
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id")), strict=True))
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for part, some in chunks(rows, texts):
+                framed = [
+                    frame(struct.pack(_ID, doc_id is not None, doc_id or 0) + np.frombuffer(ids + end, "<u4").astype(kind).tobytes())
+                    for (_, doc_id), ids in zip(part, encoder.encode(some), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(framed, pa.binary()), pa.array([s for s, _ in part], pa.int64())], names=["value", "shard"]
+                )
 
     encoded = dealt.mapInArrow(run, "value binary, shard long")
     # the text writer writes a string's bytes as they are
-    encoded.select(F.col("value").cast("string"), "shard").write.partitionBy("shard").text(path)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        encoded.select(F.col("value").cast("string"), "shard").write.partitionBy("shard").text(path)
 
 
 def scan_records(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
