@@ -16,7 +16,7 @@ import types
 from array import array
 
 #: Pieces (about 200 bytes each) that a worker process keeps before those not met since the last time are dropped.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 500_000
 
 #: Words whose splitting and lower case need no tables, and marks that are split from them.
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z")
