@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import class_label, is_missing, nan_to_null, severity
+from .moments import pearson
 from .quantiles import column_quantiles, group_quantiles
 from .shape import batched_rows, rows_of
 
@@ -101,7 +102,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, **options) ->
 def column_info(df: DataFrame) -> DataFrame:
     """Name, type and number of present values of every column."""
     types = dict(df.dtypes)
-    one = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    one = df.agg(*[F.count_if(~is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
     return rows_of(
         one,
         [
@@ -250,9 +251,8 @@ def crosstab(df: DataFrame, column: str, target: str, classes: Sequence = (0, 1)
 
 
 def correlation(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pearson r of every ordered pair over the rows where both are present, in one aggregate."""
-    pairs = {(a, b): (F.col(a), F.col(b)) for a in columns for b in columns}
-    return correlation_of(numbers(df, columns), pairs, columns, digits)
+    """Pearson r of every ordered pair over the rows where both are present, from one scan."""
+    return pearson(numbers(df, columns), columns, digits)
 
 
 #: column pairs, and columns with their box statistics, handled in one aggregate

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import nan_to_null, p_value_text
 from ..sources.staging import stage
 from .lookup import attach_by_value
+from .moments import pearson
 from .profile import correlation_of, group_statistics
 from .ranks import average_ranks, distinct_estimates, running_totals, value_weights
 
@@ -161,7 +162,8 @@ def rank_correlation(
 ) -> DataFrame:
     """Spearman r of every ordered pair: Pearson r of the average ranks over rows with both present.
 
-    Columns without NULLs share one ranking. A column is ranked again for every partner with NULLs.
+    Columns without NULLs share one ranking, and their pairs come from one scan. A column is ranked again for every
+    partner with NULLs.
     """
     frame = df.select(*[nan_to_null(F.col(c)).alias(c) for c in columns])
     row = frame.agg(*[F.max(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(columns)]).first()
@@ -177,6 +179,9 @@ def rank_correlation(
     numbered = {name: f"r{i}" for i, name in enumerate(needed)}
     with_ranks = attach_ranks(frame, {numbered[n]: e for n, e in needed.items()}, "_", bucket_rows)
     with_ranks = stage(with_ranks.select(*[f"_{r}" for r in numbered.values()]), "ranked")
+    if len(numbered) == len(columns):
+        plain = with_ranks.select(*[F.col(f"_{numbered[c]}").alias(c) for c in columns])
+        return pearson(plain, columns, digits)
     pairs = {
         key: (F.col(f"_{numbered[left]}"), F.col(f"_{numbered[right]}")) for key, (left, right) in names.items()
     }

@@ -399,6 +399,20 @@ _COLUMN_TYPES = {
     "qty": "double", "total": "double", "outcome": "int",
 }
 
+def _nearest(k: int = 5) -> str:
+    """Every missing cell against every row that has it: the mean of the nearest, ties to the smaller value."""
+    squares = " + ".join(f"coalesce((q.{c} - d.{c}) * (q.{c} - d.{c}), 0)" for c in COLUMNS)
+    shared = " + ".join(f"CAST(q.{c} IS NOT NULL AND d.{c} IS NOT NULL AS INT)" for c in COLUMNS)
+    distance = f"sqrt(({squares}) * ({len(COLUMNS)}.0::DOUBLE / ({shared})))"
+    fills = " UNION ALL ".join(
+        f"SELECT q.pid, '{c}' AS item, list_avg(list_transform(min({{'d': {distance}, 'v': d.{c}}}, {k}), lambda x: x.v)) AS fill "
+        f"FROM c q JOIN c d ON q.{c} IS NULL AND d.{c} IS NOT NULL WHERE ({shared}) > 0 GROUP BY q.pid"
+        for c in HIDDEN
+    )
+    filled = ", ".join(f"round(coalesce({c}, (SELECT fill FROM fills f WHERE f.pid = c.pid AND item = '{c}'), avg({c}) OVER ()), 6) AS {c}" for c in HIDDEN)
+    return f"WITH {READ}, fills AS MATERIALIZED ({fills}) SELECT pid, CAST(n_lines AS DOUBLE) AS n_lines, {filled}, round(total, 6) AS total, outcome FROM c"
+
+
 ORACLES: dict[str, str] = {
     "cohort": f"WITH {RAW} {_frame('raw')}",
     "csv_scan": f"WITH {RAW} {_frame('raw')}",
@@ -538,8 +552,13 @@ ORACLES: dict[str, str] = {
         round(positive_rate, 6) AS positive_rate FROM g, n
         WHERE records / CAST(n AS DOUBLE) >= 0.01 AND abs(positive_rate - r) >= 0.25""",
     "duplicates": f"""WITH {RAW} SELECT CAST(sum(k - 1) AS BIGINT) AS duplicate_rows, CAST(0 AS BIGINT) AS missing_cells,
-        CAST(sum(k * (CAST(min_disc = 0 AS INT) + CAST(min_tax = 0 AS INT) + CAST(qty = 0 AS INT))) AS BIGINT) AS impossible_zeros
-        FROM (SELECT n_lines, min_disc, min_tax, qty, outcome, count(*) AS k FROM raw GROUP BY ALL)""",
+        CAST(sum(k * (CAST(max_price = 0 AS INT) + CAST(min_disc = 0 AS INT) + CAST(min_tax = 0 AS INT) + CAST(qty = 0 AS INT)
+        + CAST(total = 0 AS INT))) AS BIGINT) AS impossible_zeros FROM (SELECT * EXCLUDE (pid), count(*) AS k FROM raw GROUP BY ALL)""",
+    "document_duplicates": """SELECT CAST(sum(k - 1) AS BIGINT) AS duplicate_rows,
+        CAST(sum(k * (CAST(text IS NULL AS INT) + CAST(lang IS NULL AS INT) + CAST(source IS NULL AS INT) + CAST(n_chars IS NULL AS INT)))
+        AS BIGINT) AS missing_cells, CAST(0 AS BIGINT) AS impossible_zeros
+        FROM (SELECT text, lang, source, n_chars, count(*) AS k FROM documents GROUP BY ALL)""",
+    "impute_knn": _nearest(),
     "average_precision": f"WITH {_scores()} SELECT round(sum(CAST(tp AS DOUBLE) / pos * ctp / cn), 6) AS pr_auc FROM q",
     "roc_auc": f"""WITH {_scores()} SELECT round(sum(CAST(n - tp AS DOUBLE) * (ctp - tp / 2.0)) / any_value(CAST(pos AS DOUBLE) * neg), 6)
         AS roc_auc FROM q""",

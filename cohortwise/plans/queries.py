@@ -293,7 +293,12 @@ def label_leak(spark, sf_dir):
 
 
 def duplicates(spark, sf_dir):
-    df = oc.order_cohort(spark, sf_dir).drop(KEY, "total", "max_price")
+    base = stage(oc.order_cohort(spark, sf_dir).drop(KEY), "cohort")  # the key is unique by definition
+    return cohort.duplicate_report(base, oc.CONTRACT)
+
+
+def document_duplicates(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").drop("doc_id")
     return cohort.duplicate_report(df, oc.CONTRACT)
 
 
@@ -482,6 +487,7 @@ QUERIES: dict[str, Query] = {
     "implausible_zeros": _on_cohort(cohort.implausible_zeros, oc.CONTRACT),
     "label_leak": label_leak,
     "duplicates": duplicates,
+    "document_duplicates": document_duplicates,
     "average_precision": _on_scored(evaluate.average_precision),
     "roc_auc": _on_scored(evaluate.roc_auc),
     "confusion": _on_scored(evaluate.confusion, 0.366),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.contract import CLINICAL, Contract, Field
 from cohortwise.functions.scalar import band, clip, interval_number, points, ratio, zero_to_null
-from cohortwise.operators import clean, cohort, evaluate, folds, knn, profile, quantiles, rank_tests, ranks, scale
+from cohortwise.operators import clean, cohort, evaluate, folds, knn, moments, profile, quantiles, rank_tests, ranks, scale
 from cohortwise.operators.features import CLINICAL_DERIVATIONS, derive
 from cohortwise.sources import gate, readers, sinks, synthetic
 from cohortwise.sources.staging import new_path, stage
@@ -371,6 +371,36 @@ def test_duplicates_count_all_but_the_first(spark):
     assert (row.duplicate_rows, row.missing_cells, row.impossible_zeros) == (2, 3, 1)
 
 
+def test_duplicates_of_whole_rows_with_odd_values(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', 0D), ('a', -0D), ('b', double('NaN')), ('b', double('NaN')), (NULL, 1D), (NULL, 1D), ('', 1D) t(s, x)")
+    assert cohort.duplicate_report(df, CLINICAL).first().duplicate_rows == 3
+    assert cohort.duplicate_report(df.where("s = 'none'"), CLINICAL).first().duplicate_rows is None
+
+
+def test_correlation_of_many_columns_is_one_scan(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(moments, "BLOCK_ROWS", 37)
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame(rng.normal(size=(500, 30)) * rng.uniform(0.1, 1e3, 30) + 1e6, columns=[f"c{i}" for i in range(30)])
+    frame["c1"] = frame["c0"] * -2 + rng.normal(size=500)
+    frame = frame.mask(rng.random(frame.shape) < 0.3)
+    frame["same"], frame["none"], frame["n"] = 0.1, np.nan, np.arange(500)
+    frame.loc[100:, "c2"] = 7.25  # constant wherever c3 is present
+    frame.loc[:99, "c3"] = np.nan
+    spark.createDataFrame(frame).repartition(5).write.parquet(f"{tmp_path}/wide")
+    got = profile.correlation(spark.read.parquet(f"{tmp_path}/wide"), list(frame.columns), 9)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    want = frame.corr()
+    found = {(r.row_field, r.column_field): r.correlation for r in got.collect()}
+    assert len(found) == len(frame.columns) ** 2
+    for (a, b), r in found.items():
+        if a == b or "same" in (a, b) or "none" in (a, b) or {a, b} == {"c2", "c3"}:
+            varies = a == b and a not in ("same", "none")
+            assert r == (1.0 if varies else None)
+        else:
+            assert r == pytest.approx(want.loc[a, b], abs=2e-8)
+
+
 # --- evaluation and folds --------------------------------------------------------------------
 
 

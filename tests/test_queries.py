@@ -8,7 +8,7 @@ from cohortwise.plans.oracles import ORACLES
 from cohortwise.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"file_digests", "impute_knn", "oof_scores", "leaderboard", "training_metrics", "leakage_audit"}
+WITHOUT_SQL = {"file_digests", "oof_scores", "leaderboard", "training_metrics", "leakage_audit"}
 
 
 @pytest.fixture(scope="module")
