@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.evaluate import ranking_scores
@@ -26,17 +28,34 @@ def folded_table(df: DataFrame, key: str, label: str, folds: int, seed: int) ->
     return stage(stratified_folds(df, key, label, folds, seed), "folds", "fold")
 
 
-def out_of_fold(folded: DataFrame, learners: Sequence[Learner], folds: int, keep: Sequence[str]) -> DataFrame:
+#: Fits that run beside each other. A fit of a small fold is a chain of short jobs that leaves executors idle.
+FITS_AT_ONCE = 4
+
+
+def side_by_side(spark: SparkSession, tasks: Sequence[Callable], at_once: int) -> list:
+    """The results of independent calls, in order, from a bounded pool of threads with the caller's job properties."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return list(pool.map(lambda task: task(), [inherit(task) for task in tasks]))
+
+
+def out_of_fold(
+    folded: DataFrame, learners: Sequence[Learner], folds: int, keep: Sequence[str], at_once: int | None = None
+) -> DataFrame:
     """Every row predicted by models that were fitted without its fold.
 
-    All learners of a fold run over the same held-out rows in one chain, so nothing has to be joined.
+    Folds and learners are fitted side by side. All learners of a fold run over the same held-out rows in one
+    chain, so nothing has to be joined.
     """
+    trains = [folded.where(F.col("fold") != i) for i in range(folds)]
+    tasks = [lambda learner=learner, train=train: learner.fit(train) for train in trains for learner in learners]
+    fitted = iter(side_by_side(folded.sparkSession, tasks, FITS_AT_ONCE if at_once is None else at_once))
     parts = None
     for i in range(folds):
-        train, held = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
-        for learner in learners:
-            held = learner.fit(train).transform(held)
-        held = held.select(*keep, *[learner.output for learner in learners])
+        held = folded.where(F.col("fold") == i)
+        for learner in learners:  # outputs are set aside: a stack makes columns of its members' names on the way
+            held = next(fitted).transform(held).withColumnRenamed(learner.output, f"held_{learner.output}")
+        held = held.select(*keep, *[F.col(f"held_{learner.output}").alias(learner.output) for learner in learners])
         parts = held if parts is None else parts.unionByName(held)
     return parts
 
@@ -61,9 +80,10 @@ def stacking(
             featuresCol="m_v", labelCol=label, weightCol=WEIGHT, predictionCol="m_c", probabilityCol="m_p",
             rawPredictionCol="m_r", maxIter=settings.iterations, regParam=1.0 / total, standardization=False,
         ).fit(weighted)
+        final = side_by_side(base.sparkSession, [lambda learner=learner: learner.fit(base) for learner in level0], FITS_AT_ONCE)
         return PipelineModel(
             [
-                *[learner.fit(base) for learner in level0],
+                *final,
                 assembler,
                 meta,
                 VectorSlicer(inputCol="m_p", outputCol=f"p_{name}", indices=[1]),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +12,9 @@ from ..functions.scalar import class_label, clip, decide, display_id, position_i
 from ..operators import clean, cohort, density, evaluate, features, folds, profile, rank_tests, scale
 from ..sources import gate, readers, sinks, synthetic
 from ..sources.staging import new_path, stage
-from ..learners.artifact import load_scorer
-from ..learners.pipelines import Settings, candidates, logistic_regression
-from ..learners.stacking import leaderboard
+from ..learners.artifact import load_scorer, publish
+from ..learners.pipelines import Settings, logistic_regression
+from ..learners.stacking import keyed
 from ..streaming.scoring import arriving, score_stream
 from . import jobs, train_job
 from . import order_cohort as oc
@@ -342,17 +341,61 @@ def oof_scores(spark, sf_dir):
 
 
 def leaderboard_table(spark, sf_dir):
-    learners = list(candidates(NUMERIC, TARGET, LIGHT).values())
-    oof = train_job.compare(staged_readings(spark, sf_dir), KEY, TARGET, learners, 2, 42)
-    return tidy(leaderboard(oof, TARGET, [m.name for m in learners]), 3)
+    run, _ = _trained(spark, sf_dir)
+    return tidy(run.board, 3)
+
+
+def _trained(spark, sf_dir):
+    """The run behind the training queries, with its model published: all learners and the stack."""
+    out = new_path(spark, "training")
+    run = train_job.run_training(staged_readings(spark, sf_dir), oc.CONTRACT, out, LIGHT, folds=2)
+    return run, out
 
 
 def training_metrics(spark, sf_dir):
-    pair = replace(LIGHT, learners=("logistic_regression", "random_forest"))
-    run = train_job.run_training(
-        staged_readings(spark, sf_dir), oc.CONTRACT, settings=pair, folds=2, with_singles=False
-    )
-    return run.metrics.select("rows.*", "seed", "features", F.col("chosen_threshold").isNotNull().alias("has_threshold"))
+    """The metrics document as it was written, read back, in long form: one row per number."""
+    run, out = _trained(spark, sf_dir)
+    record = spark.read.schema(run.metrics.schema).json(f"{out}/metrics")
+    marks = ("pr_auc", "roc_auc", "recall", "precision", "f1", "accuracy", "threshold")
+    pairs = {f"rows.{c}": F.col(f"rows.{c}") for c in ("total", "train", "test")}
+    pairs |= {"seed": F.col("seed"), "split.test_share": F.col("split.test_share"), "split.folds": F.col("split.folds")}
+    for part in ("test", "test_at_half"):
+        pairs |= {f"{part}.{c}": F.col(f"{part}.{c}") for c in marks}
+        cells = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
+        pairs |= {f"{part}.{c}": F.col(f"{part}.confusion_matrix")[i][j] for c, (i, j) in cells.items()}
+    numbers = record.select(F.inline(F.array(*[F.struct(F.lit(n).alias("measure"), v.cast("double").alias("value")) for n, v in pairs.items()])))
+    floor = record.select(F.explode("always_negative").alias("m", "value")).select(F.concat(F.lit("always_negative."), "m").alias("measure"), "value")
+    tables = train_job.report_tables(record)
+    board = tables["leaderboard"].select(F.inline(F.array(*[F.struct(F.concat(F.lit(f"leaderboard.{c}."), "model").alias("measure"), F.col(c).alias("value")) for c in ("cv_pr_auc", "cv_roc_auc")])))
+    deltas = tables["deltas"].select(F.inline(F.array(*[F.struct(F.lit(f"floor.{c}").alias("measure"), F.col(c).alias("value")) for c in tables["deltas"].columns])))
+    return tidy(numbers.unionByName(floor).unionByName(board).unionByName(deltas), 6)
+
+
+#: one learner at the full settings, for the queries that score with a published model
+SCORING = Settings()
+
+
+def _published(spark, sf_dir, base):
+    """A logistic regression at full settings, saved and loaded again."""
+    path, train = new_path(spark, "model"), keyed(base, KEY)
+    learner = logistic_regression(NUMERIC, TARGET, SCORING)
+    publish(spark, path, learner.fit(train), learner.output, 0.5, NUMERIC)
+    return load_scorer(spark, path, NUMERIC)
+
+
+def score_table_trained(spark, sf_dir):
+    base = staged_readings(spark, sf_dir)
+    placed, _ = jobs.score_records(base, _published(spark, sf_dir, base), base, oc.CONTRACT, "total")
+    return tidy(placed.select(KEY, "probability", "label", "source", "primary_percentile"), 4)
+
+
+def score_stream_trained(spark, sf_dir):
+    base = staged_readings(spark, sf_dir)
+    folder, sink = new_path(spark, "arriving"), new_path(spark, "scored")
+    base.write.parquet(folder)
+    stream = arriving(spark, folder, base.schema)
+    score_stream(stream, _published(spark, sf_dir, base), sink, new_path(spark, "scored-checkpoint")).awaitTermination()
+    return tidy(spark.read.parquet(sink).select(KEY, "probability", "label", "source"), 4)
 
 
 def score_table(spark, sf_dir):
@@ -503,6 +546,8 @@ QUERIES: dict[str, Query] = {
     "leaderboard": leaderboard_table,
     "training_metrics": training_metrics,
     "leakage_audit": leakage_audit,
+    "score_table_trained": score_table_trained,
+    "score_stream_trained": score_stream_trained,
     "score_table": score_table,
     "score_stream": score_stream_table,
     "clean_job": clean_job,
