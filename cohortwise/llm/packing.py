@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import chunks, if_small
+from .common import arrow_rows, chunks, if_small
 from .tokens import Encoder
 
 CAPACITY = 2048
@@ -33,6 +33,9 @@ END_ID = 1
 CELL_PIECES = 1 << 16
 #: Tokens of the pieces that are filled together, so that a cell of long pieces stays small too.
 CELL_TOKENS = 1 << 22
+#: Rows that a worker gets at a time, and pieces of text that it remembers.
+BATCH_ROWS = 512
+KEPT_PIECES = 800_000
 
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
@@ -56,7 +59,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     width = np.dtype(kind).itemsize
 
     def run(batches):
-        encoder = Encoder.of(tokenizer)
+        encoder = Encoder.of(tokenizer, KEPT_PIECES)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -122,7 +125,8 @@ def sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
 
     The pieces of a sequence are equally long, so their places follow from their number.
     """
-    found = stage(pieces(docs, tokenizer, capacity, end_id), "pieces", codec="zstd")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        found = stage(pieces(docs, tokenizer, capacity, end_id), "pieces", codec="zstd")
     # a sequence is within a cell, so its pieces are together already
     members = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "start", "doc_tokens", "ids"))).alias("members")
     joined = fill(found, capacity).groupBy("length", "cell", "sequence_id").agg(members)

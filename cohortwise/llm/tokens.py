@@ -41,7 +41,8 @@ def _of_process() -> dict:
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int | None = None):
+        self.kept = KEPT_PIECES if kept is None else kept
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -66,10 +67,10 @@ class Encoder:
         return re.compile("(" + "|".join(map(re.escape, longest_first)) + ")", flags) if longest_first else None
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, path: str, kept: int | None = None) -> Encoder:
         table = _of_process()
         if path not in table:
-            table[path] = cls(path)
+            table[path] = cls(path, kept)
         return table[path]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -123,14 +124,15 @@ class Encoder:
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         """The ids of texts without added tokens."""
-        if len(self.pieces) > KEPT_PIECES:
+        if len(self.pieces) > self.kept:
             self.pieces, self.older = {}, self.pieces
         known, look_up = self.pieces, self.pieces.get
         cut = [self._cut(t) for t in texts]
         found = [list(map(look_up, c)) for c in cut]
         gaps = [[k for k, ids in enumerate(f) if ids is None] if None in f else () for f in found]
         fresh = dict.fromkeys(c[k] for c, own in zip(cut, gaps, strict=True) for k in own)
-        fresh.update((piece, self.older[piece]) for piece in fresh.keys() & self.older.keys())
+        if self.older:
+            fresh = {piece: self.older.get(piece) for piece in fresh}
         wanted = [piece for piece, ids in fresh.items() if ids is None]
         fresh.update(zip(wanted, self._encode_pieces(wanted), strict=True))
         known.update(fresh)
