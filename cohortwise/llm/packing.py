@@ -53,13 +53,13 @@ def id_type(tokenizer: str, end_id: int = END_ID) -> str:
     return "<u2" if max(top, end_id) < 1 << 16 else "<u4"
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """The pieces of every document, with their ids in ``id_type``."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, kept: int = KEPT_PIECES) -> DataFrame:
+    """The pieces of every document, with their ids in ``id_type``; ``kept`` bounds what a worker remembers."""
     end, kind = end_id.to_bytes(4, "little"), id_type(tokenizer, end_id)
     width = np.dtype(kind).itemsize
 
     def run(batches):
-        encoder = Encoder.of(tokenizer, KEPT_PIECES)
+        encoder = Encoder.of(tokenizer, kept)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -120,13 +120,13 @@ def _place(members, capacity: int) -> dict:
     }
 
 
-def sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, kept: int = KEPT_PIECES) -> DataFrame:
     """The packed sequences: sequence_id, ids in ``id_type``, and the pieces (doc_id, start, doc_tokens) in their order.
 
     The pieces of a sequence are equally long, so their places follow from their number.
     """
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
-        found = stage(pieces(docs, tokenizer, capacity, end_id), "pieces", codec="zstd")
+        found = stage(pieces(docs, tokenizer, capacity, end_id, kept), "pieces", codec="zstd")
     # a sequence is within a cell, so its pieces are together already
     members = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "start", "doc_tokens", "ids"))).alias("members")
     joined = fill(found, capacity).groupBy("length", "cell", "sequence_id").agg(members)
@@ -157,10 +157,12 @@ def pieces_of(written: DataFrame, kind: str, with_ids: bool = True) -> DataFrame
     return each.mapInArrow(run, schema + ", ids binary" * with_ids)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True, kept: int = KEPT_PIECES
+) -> DataFrame:
     """Every piece with its place: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
     Sequences are written with their ids; ``with_ids`` tells whether the result repeats them.
     """
-    written = stage(sequences(docs, tokenizer, capacity, end_id), "sequences", codec="zstd")
+    written = stage(sequences(docs, tokenizer, capacity, end_id, kept), "sequences", codec="zstd")
     return pieces_of(written, id_type(tokenizer, end_id), with_ids)
