@@ -18,6 +18,10 @@ from cohortwise.llm.queries import tokenizer_path
 from cohortwise.sources.staging import stage
 
 
+#: Pieces of text that a packing worker remembers: few, since executors still hold what earlier stages left.
+KEPT_PIECES = 100_000
+
+
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without the rows whose doc_id is among ``ids``."""
     gone = if_small(stage(ids.select(F.col("doc_id").alias("__gone")).distinct(), "gone"), SMALL_KEYS)
@@ -46,7 +50,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_plan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their ids and their places in sequences."""
-    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), kept=KEPT_PIECES)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
