@@ -6,7 +6,7 @@ per character. Labels come from the patterns (their finds are secrets), from gen
 alphabets (random), and from words that several texts have (ordinary). Training reads a bounded sample of documents, in
 expectation ``SAMPLE_DOCS`` whole texts by a hash of the text; the models are one table with a number for each
 pair of characters of a fixed alphabet, whatever the corpus. Scanning is one pass of built-in functions over
-the whole texts, without a shuffle.
+the whole texts, without a shuffle; its work grows in proportion to the text, however many spans there are.
 
 Kinds of spans, in order: assign, access, hex (the patterns), markov (added; never where a pattern's span is).
 Positions count code points; the end is exclusive.
@@ -41,6 +41,10 @@ SIZE = len(ALPHABET) + 1  # one more for every other character
 SAMPLE_DOCS = 2000
 #: Log-likelihood ratio in bits that a random token reaches, and per character.
 LEAST_BITS, LEAST_RATE = 20.0, 0.75
+#: Elements of an array that are worked on together, and characters of a text.
+BLOCK = 64
+PIECE = 512
+_SPAN = "struct<start: int, kind: int, end: int, value: string>"
 _SMOOTHING = 0.25
 #: Weight, in characters, of a character's overall share against what was seen after the one before.
 _PRIOR = 8.0
@@ -52,19 +56,29 @@ def finds(text: str, pattern: str) -> tuple[Column, Column]:
     return found, F.split(F.col(text), pattern, -1)
 
 
+def _running(array: str, kind: str, step: str, emit: str) -> str:
+    """SQL for an array of ``emit`` for each element ``x``, given ``at``: zero, then ``step`` of it at each element.
+
+    Appending to an array copies it, so the array is worked on in blocks: first the values of ``at`` at which blocks
+    begin, then each block by itself.
+    """
+    let = lambda value, name, body: f"transform(array({value}), {name} -> {body})[0]"
+    inner = "named_struct('at', {0}, 'out', {1})".format(step.replace("@at", "acc.at"), f"concat(acc.out, {emit.replace('@at', 'acc.at')})")
+    first = f"named_struct('at', begins[k], 'out', cast(array() as array<{kind}>))"
+    each = f"flatten(transform(blocks, (block, k) -> aggregate(block, {first}, (acc, x) -> {inner}, acc -> acc.out)))"
+    begins = f"aggregate(blocks, array(0), (seen, block) -> concat(seen, array(aggregate(block, element_at(seen, -1), (at, x) -> {step.replace('@at', 'at')}))))"
+    blocks = f"transform(sequence(0, greatest(size(items) - 1, 0) div {BLOCK}), k -> slice(items, k * {BLOCK} + 1, {BLOCK}))"
+    return let(array, "items", let(blocks, "blocks", let(begins, "begins", each)))
+
+
 def _spans(found: str, between: str, kind: str) -> Column:
     """Structs (start, kind number, end, value) of matches, by the lengths of the texts between them."""
     number, m, b = KINDS.index(kind), f"x.{found}", f"x.{between}"  # the texts between are one more
-    return F.expr(
-        f"""aggregate(arrays_zip({found}, {between}),
-            named_struct('at', 0, 'spans', cast(array() as array<struct<start: int, kind: int, end: int, value: string>>)),
-            (acc, x) -> if({m} is null, acc, named_struct(
-                'at', acc.at + char_length({b}) + char_length({m}),
-                'spans', concat(acc.spans, array(named_struct(
-                    'start', acc.at + char_length({b}), 'kind', {number},
-                    'end', acc.at + char_length({b}) + char_length({m}), 'value', {m}))))),
-            acc -> acc.spans)"""
-    )
+    start = f"@at + char_length({b})"
+    span = f"named_struct('start', {start}, 'kind', {number}, 'end', {start} + char_length({m}), 'value', {m})"
+    step = f"@at + char_length({b}) + coalesce(char_length({m}), 0)"
+    none = f"cast(array() as array<{_SPAN}>)"
+    return F.expr(_running(f"arrays_zip({found}, {between})", _SPAN, step, f"if({m} is null, {none}, array({span}))"))
 
 
 def pattern_spans(docs: DataFrame, keep: list[str], tokens: bool = True) -> DataFrame:
@@ -74,7 +88,7 @@ def pattern_spans(docs: DataFrame, keep: list[str], tokens: bool = True) -> Data
     matched = named.withColumns({f"__{k}": finds("__text", p)[0] for k, p in patterns.items()})
     # texts without a match are not split
     split = matched.withColumns({f"__{k}_b": F.when(F.size(f"__{k}") > 0, finds("__text", p)[1]) for k, p in patterns.items()})
-    none = "cast(array() as array<struct<start: int, kind: int, end: int, value: string>>)"
+    none = f"cast(array() as array<{_SPAN}>)"
     spans = {k: F.when(F.size(f"__{k}") > 0, _spans(f"__{k}", f"__{k}_b", k)).otherwise(F.expr(none)) for k in patterns}
     result = split.select(*keep, "__text", *[c.alias(k) for k, c in spans.items()])
     long_enough = F.filter("assign", lambda s: F.char_length(F.regexp_extract(s["value"], ASSIGN, 2)) >= ASSIGN_VALUE)
@@ -133,8 +147,17 @@ def _transitions(counts: list[list[float]]) -> list[float]:
 def _bits(ratios: list[float]) -> str:
     """SQL for the log-likelihood ratio of ``s.value``; the table is one folded literal."""
     table = "cast(split('" + ",".join(f"{r:.5f}" for r in ratios) + "', ',') as array<double>)"
-    code = lambda i: f"instr('{ALPHABET}', substring(s.value, {i}, 1))"
-    return f"aggregate(sequence(2, char_length(s.value)), 0.0D, (acc, i) -> acc + {table}[{code('i - 1')} * {SIZE} + {code('i')}])"
+    code = f"instr('{ALPHABET}', c)"
+    step = f"named_struct('a', {code}, 'bits', acc.bits + if(acc.a < 0, 0.0D, {table}[acc.a * {SIZE} + {code}]))"
+    return f"aggregate(split(s.value, ''), named_struct('a', -1, 'bits', 0.0D), (acc, c) -> {step}, acc -> acc.bits)"
+
+
+def _grouped(array: str) -> str:
+    """SQL for runs of ``BLOCK`` elements of a sorted array that have ``start`` and ``end``, with their bounds."""
+    run = f"slice(items, k * {BLOCK} + 1, {BLOCK})"
+    bounds = "named_struct('start', r[0].start, 'end', array_max(transform(r, e -> e.end)), 'held', r)"
+    runs = f"transform(filter(transform(sequence(0, size(items) div {BLOCK}), k -> {run}), r -> size(r) > 0), r -> {bounds})"
+    return f"transform(array({array}), items -> {runs})[0]"
 
 
 def scan(docs: DataFrame, keep: list[str], ratios: list[float] | None = None) -> DataFrame:
@@ -144,10 +167,12 @@ def scan(docs: DataFrame, keep: list[str], ratios: list[float] | None = None) ->
     found = pattern_spans(docs, keep)
     base = F.array_sort(F.concat("assign", "access", "hex"))
     found = found.select(*keep, "__text", base.alias("base"), "markov")
-    apart = "not exists(base, b -> b.start < s.end and s.start < b.end)"
+    near = lambda e: f"({e}.start < s.end and s.start < {e}.end)"
+    # spans near a token are sought through two levels of bounds
+    apart = f"not exists(runs, g -> {near('g')} and exists(g.held, h -> {near('h')} and exists(h.held, b -> {near('b')})))"
     bits = _bits(ratios)
     random = f"filter(markov, s -> {apart} and {bits} >= greatest({LEAST_BITS}D, {LEAST_RATE}D * char_length(s.value)))"
-    scored = found.withColumn("markov", F.when(F.size("markov") > 0, F.expr(random)).otherwise(F.col("markov")))
+    scored = found.withColumn("markov", F.when(F.size("markov") > 0, F.expr(f"transform(array({_grouped(_grouped('base'))}), runs -> {random})[0]")).otherwise(F.col("markov")))
     return scored.select(*keep, "__text", "base", F.array_sort(F.concat("base", "markov")).alias("spans"))
 
 
@@ -168,14 +193,15 @@ def redact(docs: DataFrame, mark: str = "<secret>", ratios: list[float] | None =
     """``docs`` with every span (overlapping ones as one) replaced by ``mark`` and n_chars, if any, renewed."""
     columns = docs.columns
     found = scan(docs, columns, ratios)
-    # spans come by start: a piece ends where a span begins that no earlier one covers
-    rebuilt = F.expr(
-        f"""aggregate(spans, named_struct('at', 0, 'out', cast(array() as array<string>)),
-            (acc, s) -> if(s.end <= acc.at, acc, named_struct(
-                'at', s.end,
-                'out', if(s.start < acc.at, acc.out, concat(acc.out, array(substring(__text, acc.at + 1, s.start - acc.at), '{mark}'))))),
-            acc -> concat(concat_ws('', acc.out), substring(__text, acc.at + 1)))"""
-    )
+    # spans come by start: a piece ends where a span begins that no earlier one covers; pieces are cut from short parts of the text
+    first, last = f"@at div {PIECE}", f"(x.start - 1) div {PIECE}"
+    cut = f"substring(array_join(slice(parts, {first} + 1, {last} - {first} + 1), ''), @at % {PIECE} + 1, x.start - @at)"
+    emit = f"if(x.end <= @at or x.start < @at, cast(array() as array<string>), array(if(x.start = @at, '', {cut}), '{mark}'))"
+    pieces = _running("spans", "string", "greatest(@at, x.end)", emit)
+    end = "array_max(transform(spans, s -> s.end))"
+    tail = f"array_join(slice(parts, {end} div {PIECE} + 1, size(parts)), '')"
+    whole = f"concat(array_join({pieces}, ''), substring({tail}, {end} % {PIECE} + 1))"
+    rebuilt = F.expr(f"transform(array(regexp_extract_all(__text, '(?s).{{1,{PIECE}}}', 0)), parts -> {whole})[0]")
     text = F.when(F.size("spans") > 0, rebuilt).otherwise(F.col("text"))
     changed = found.withColumn("__new", text)
     size = F.when(F.size("spans") > 0, F.char_length("__new").cast("long")).otherwise(F.col("n_chars")) if "n_chars" in columns else None
