@@ -8,8 +8,10 @@ distances are binned finely on a logarithmic scale, each bin keeps its count and
 the wanted share give the next mean and covariance. No group, however large, is gathered anywhere.
 
 Defined cases: a null or empty text has zero words and fails the base rules; null ``lang`` or ``source`` are
-values of their own; groups below ``MIN_GROUP`` rows are pooled by language, and a pool below it rejects
-nothing; repeated rows get one answer each; other columns are ignored; an empty table gives an empty result.
+values of their own; groups below ``MIN_GROUP`` rows are pooled by language, pools below it are pooled together,
+and if even these are fewer they are judged by the estimate of the whole table. Only where the whole table has
+fewer than ``LEAST_ROWS`` rows, too few for a covariance, are rows left unjudged: kept, with a null distance.
+Repeated rows get one answer each; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import math
 import operator
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,11 +35,13 @@ MIN_WORDS = 20
 MAX_REPEATED = 30
 WINDOW = 8
 MIN_GROUP = 100
+LEAST_ROWS = 18
 #: Rows of a cell in which random starts are tried.
 CELL_ROWS = 2000
 STARTS = 16
 COVERAGE = 0.75
-MAX_STEPS = 6
+#: A group is settled when its log determinant falls by less than this.
+TOLERANCE = 1e-3
 #: A row is rejected if its squared distance is beyond this quantile of chi-squared.
 CONFIDENCE = 1 - 1e-5
 
@@ -46,6 +51,9 @@ FEATURES = ("log_words", "log_word_length", "symbols", "repeated_lines", "repeat
 FLOORS = (0.25, 0.06, 0.04, 0.2, 0.2, 0.06, 0.06, 0.1)
 P = len(FEATURES)
 
+#: The group of all rows.
+WHOLE = "all"
+
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 _BINS_PER_OCTAVE, _LOWEST = 16, -12.0
 _SYMBOLS = b"#*$%&|<>"
@@ -203,7 +211,7 @@ def squared_distance():
         for j in range(i, P):
             term = gap[i] * gap[j] * F.col("precision")[i * P + j] * (1.0 if i == j else 2.0)
             total = term if total is None else total + term
-    return F.greatest(total, F.lit(0.0))
+    return F.when(total.isNotNull(), F.greatest(total, F.lit(0.0)))
 
 
 def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -234,34 +242,58 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
-    """Estimates per group, after concentration steps until no determinant falls any more."""
+    """Estimates per group, after concentration steps until no determinant falls any more.
+
+    A group whose determinant does not fall keeps the estimate it had and takes no part in later steps. Every
+    other group's falls by ``TOLERANCE`` at least and is bounded below by ``FLOORS``, so the steps come to an end.
+    """
     current = stage(_first_estimates(rows), "mcd")
-    for _ in range(MAX_STEPS):
-        current = stage(_concentrate(rows, current.drop("was")), "mcd")
-        moved = current.agg(F.max(F.abs(F.col("logdet") - F.col("was")))).first()[0]
-        if moved is None or moved < 1e-3:
-            break
-    return current.drop("was")
+    settled = []
+    while True:
+        following = stage(_concentrate(rows, current), "mcd")
+        falling = F.coalesce(F.col("logdet") < F.col("was") - TOLERANCE, F.lit(False))
+        settled.append(current.join(if_small(following.where(~falling).select("grp")), "grp", "left_semi"))
+        current = following.where(falling).drop("was")
+        if not current.limit(1).count():
+            return stage(reduce(DataFrame.unionByName, settled), "mcd")
+
+
+def _groups(stats: DataFrame) -> DataFrame:
+    """For every lang and source: ``grp``, the group it is judged by, and ``grp_n``, the rows that group is fitted on."""
+    fine = F.count(F.when(~F.col("base_failed"), 1))
+    sizes = stage(stats.groupBy("lang", "source").agg(fine.alias("n")), "sizes")
+    small = sizes.where(F.col("n") < MIN_GROUP)
+    pools = small.groupBy("lang").agg(F.sum("n").alias("pool_n")).withColumnRenamed("lang", "pool")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    others = pools.where(F.col("pool_n") < MIN_GROUP).agg(F.sum("pool_n")).first()[0] or 0
+    if others >= MIN_GROUP:
+        last, last_n = "rest", others
+    else:
+        last, last_n = (WHOLE, total) if total >= LEAST_ROWS else (None, 0)
+    by_both = F.concat(F.lit("s"), F.to_json(F.struct("lang", "source")))
+    by_language = F.concat(F.lit("l"), F.to_json(F.struct("lang")))
+    own, pool = F.col("n") >= MIN_GROUP, F.col("pool_n") >= MIN_GROUP
+    joined = sizes.join(if_small(pools), F.col("lang").eqNullSafe(F.col("pool")), "left")
+    grp = F.when(own, by_both).when(pool, by_language).otherwise(F.lit(last))
+    grp_n = F.when(own, F.col("n")).when(pool, F.col("pool_n")).otherwise(F.lit(last_n))
+    return joined.select(F.col("lang").alias("own_lang"), F.col("source").alias("own_source"), grp.alias("grp"), grp_n.alias("grp_n"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """Statistics, ``base_failed``, ``kept`` and the scaled squared ``distance`` of every document."""
     stats = stage(text_statistics(docs), "quality")
-    own = F.concat(F.lit("s"), F.to_json(F.struct("lang", "source")))
-    by_language = F.concat(F.lit("l"), F.to_json(F.struct("lang")))
-    sizes = stats.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.where(F.col("n") >= MIN_GROUP).select(own.alias("own"), F.col("n").alias("own_n"))
-    pools = sizes.where(F.col("n") < MIN_GROUP).groupBy(by_language.alias("pool")).agg(F.sum("n").alias("pool_n"))
-    keyed = stats.withColumns({"own": own, "pool": by_language})
-    keyed = keyed.join(if_small(large), "own", "left").join(if_small(pools), "pool", "left")
-    grp = F.when(F.col("own_n").isNotNull(), F.col("own")).when(F.col("pool_n") >= MIN_GROUP, F.col("pool"))
-    cells = F.ceil(F.coalesce("own_n", "pool_n", F.lit(1)) / CELL_ROWS)
-    keyed = keyed.withColumn("grp", grp).withColumn("cell", F.expr("pmod(xxhash64(doc_id), 1000003)") % cells)
-    fitted = keyed.where(~F.col("base_failed") & F.col("grp").isNotNull()).select("grp", "cell", "doc_id", *FEATURES)
-    estimates = robust_estimates(fitted)
+    groups = stage(_groups(stats), "groups")
+    same = F.col("lang").eqNullSafe(F.col("own_lang")) & F.col("source").eqNullSafe(F.col("own_source"))
+    keyed = stats.join(if_small(groups), same, "left")
+    fine = keyed.where(~F.col("base_failed"))
+    fitted = fine.where((F.col("grp") != WHOLE))
+    if whole := groups.where(F.col("grp") == WHOLE).first():  # rows of all groups
+        fitted = fitted.unionByName(fine.withColumns({"grp": F.lit(WHOLE), "grp_n": F.lit(whole["grp_n"])}))
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(1000003)) % F.ceil(F.col("grp_n") / CELL_ROWS)
+    estimates = robust_estimates(fitted.select("grp", cell.alias("cell"), "doc_id", *FEATURES))
     scale = COVERAGE / chi2_cdf(chi2_quantile(COVERAGE, P), P + 2)  # makes the subset's covariance unbiased
     limit = chi2_quantile(CONFIDENCE, P)
     judged = keyed.join(if_small(estimates), "grp", "left").withColumn("distance", squared_distance() / scale)
-    kept = ~F.col("base_failed") & (F.col("precision").isNull() | (F.col("distance") <= limit))
+    kept = ~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= limit))
     names = [part.split()[0] for part in STATS.split(", ")]
     return judged.select("doc_id", *names, "base_failed", kept.alias("kept"), F.round("distance", 6).alias("distance"))
