@@ -27,7 +27,7 @@ from .common import chunks, texts_of
 ORDER = 3
 #: Labelled texts per language that are learned from, in expectation.
 SAMPLE = 3000
-#: N-grams below this count per language are dropped from the top order of a model.
+#: N-grams below this count per language are dropped from the top order of a model, after the lower orders are counted.
 LEAST_COUNT = 2
 
 _LETTER = regex.compile(r"\p{L}")
@@ -57,7 +57,7 @@ def count_grams(labelled: DataFrame) -> DataFrame:
                     )
 
     counted = labelled.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def training_sample(labelled: DataFrame, per_language: int = SAMPLE) -> DataFrame:
@@ -69,13 +69,15 @@ def training_sample(labelled: DataFrame, per_language: int = SAMPLE) -> DataFram
 class Model:
     """Code lengths in bits for every known context and byte, one column per language."""
 
-    def __init__(self, langs: list[str], grams: np.ndarray, lang_of: np.ndarray, n: np.ndarray):
+    def __init__(self, langs: list[str], grams: np.ndarray, lang_of: np.ndarray, n: np.ndarray, least: int = 1):
         self.langs = langs
         size = len(langs)
         lower = np.full((256, size), 8.0)  # every byte alike below the empty context
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         previous_codes = np.arange(256, dtype=np.uint64)
         for order in range(ORDER + 1):
+            if order == ORDER:
+                grams, lang_of, n = grams[n >= least], lang_of[n >= least], n[n >= least]
             known, inverse = np.unique(grams & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
             counts = np.zeros((len(known), size))
             np.add.at(counts, (inverse, lang_of), n)
@@ -159,7 +161,7 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE) -> Model | None:
     if counts.empty:
         return None
     langs = sorted(counts["lang"].unique())
-    return Model(langs, counts["gram"].to_numpy(np.uint64), counts["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(), counts["n"].to_numpy(float))
+    return Model(langs, counts["gram"].to_numpy(np.uint64), counts["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(), counts["n"].to_numpy(float), LEAST_COUNT)
 
 
 def predict(docs: DataFrame, model: Model | None, keep: dict[str, Column]) -> DataFrame:
