@@ -7,10 +7,11 @@ at most the query weight times the next level, which bounds every row's unknown
 when the rows whose upper bound reaches the k-th best lower bound are few; these possible members are rescored
 exactly. The best k of the blocks are merged.
 
-Every component is an integer and every sum is exact, so long as ``|components|`` stay below 2 ** 26.
+Every component is an integer and every sum is exact: the levels are cut from the range of the block's components,
+and sums that could reach ``EXACT``, beyond which doubles skip integers, are refused with an error.
 Queries meet blocks of rows in groups of bounded size; nothing is gathered for all queries or all rows.
 
-Defined cases: vectors that are null or hold null or non-finite components take no part; missing trailing
+Defined cases: rows whose id is null take no part; vectors that are null or hold null or non-finite components take no part; missing trailing
 components count as zero, so an empty vector scores 0; ties go to the smaller id; rows with one id are one
 candidate each but never meet a query of their own id, and the smallest of their vectors asks; other columns are ignored; empty tables give no rows.
 """
@@ -26,8 +27,10 @@ K = 10
 SCALE = 1024
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
-#: Step of the quantised impact.
-LEVEL = 16
+#: Levels of the quantised impact.
+LEVELS = 256
+#: Sums of absolute products below this are exact in doubles.
+EXACT = 1 << 53
 #: Rescore exactly once so many rows, or this share of the block, can still be members.
 FEW_ROWS, FEW_SHARE = 64, 1 / 64
 #: Each bar is this share of the one before.
@@ -40,7 +43,10 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.rows = ids[order], rows[order]
-        level = np.abs(self.rows) // LEVEL
+        size = np.abs(self.rows)
+        self.largest = size.max(0).astype(float)
+        self.step = int(size.max(initial=0)) // LEVELS + 1
+        level = size // self.step
         self.postings = np.argsort(-level, axis=0, kind="stable").astype(np.int32).T  # per dimension
         self.levels = -np.sort(-level, axis=0).T
         self.values = np.take_along_axis(self.rows.T, self.postings, axis=1)
@@ -52,18 +58,20 @@ class ImpactIndex:
         """Ids and scores of the k best rows, best first."""
         n = len(self.ids)
         weight = np.abs(query)
+        if float(weight @ self.largest) >= EXACT:
+            raise ValueError("components too large for exact inner products")
         used = np.flatnonzero(weight)
         mine = self.ids == own
         score = np.zeros(n, np.int64)
         done = np.zeros(len(query), np.int64)
         possible = np.flatnonzero(~mine)
         few = max(FEW_ROWS, k, int(n * FEW_SHARE))
-        bar = float((weight[used] * ((self.levels[used, 0] + 1) * LEVEL)).max()) if len(used) and n else 0.0
+        bar = float((weight[used] * ((self.levels[used, 0] + 1) * self.step)).max()) if len(used) and n else 0.0
         while len(possible) > few and len(used):
             bar *= FALL
             parts, sums = [], []
             # segments whose impact is above the bar: levels beyond bar / weight
-            least = np.minimum(np.ceil(bar / (weight[used] * LEVEL)), self.top).astype(np.int64) if bar >= 1 else 0
+            least = np.minimum(np.ceil(bar / (weight[used] * self.step)), self.top).astype(np.int64) if bar >= 1 else 0
             ends = self.at_least[used, least]
             grown = ends > done[used]
             for d, end in zip(used[grown].tolist(), ends[grown].tolist(), strict=True):
@@ -73,7 +81,7 @@ class ImpactIndex:
             if parts:
                 score += np.bincount(np.concatenate(parts), np.concatenate(sums), n).astype(np.int64)
             left = used[done[used] < n]
-            rest = int((weight[left] * ((self.levels[left, done[left]] + 1) * LEVEL - 1)).sum())
+            rest = int((weight[left] * ((self.levels[left, done[left]] + 1) * self.step - 1)).sum())
             others = score[~mine]
             if len(others) > k:
                 floor = np.partition(others, len(others) - k)[len(others) - k] - rest
@@ -94,7 +102,7 @@ def _matrix(vectors: list[list[int]], width: int) -> np.ndarray:
 
 def integer_vectors(df: DataFrame, id_column: str, vector: str, scale: int = SCALE) -> DataFrame:
     """(id, v): rows that take part, with components floor(scale * x)."""
-    usable = F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    usable = F.col(id_column).isNotNull() & F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     v = F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
     return df.where(usable).select(F.col(id_column).cast("long").alias("id"), v.alias("v"))
 
