@@ -127,6 +127,33 @@ def test_spans_equal_patterns_and_models_add_random_tokens(spark):
     assert clean[4]["text"] == texts[4]
 
 
+def test_spans_and_marks_equal_brute_force_around_blocks(spark):
+    rnd = random.Random(4)
+    kinds = (
+        lambda: f"{rnd.getrandbits(128):032x}", lambda: f"password = abc_{rnd.getrandbits(80):020x}", lambda: "AKIA" + f"{rnd.getrandbits(64):016X}",
+        lambda: "".join(rnd.choices("abcXYZ0189+/=_-", k=rnd.randrange(15, 45))), lambda: "wörd 😀", lambda: "\n",
+    )
+    sizes = [1, 2, 63, 64, 65, 128, 129, 400, 5000]
+    texts = [rnd.choice([" ", "", "é"]).join(rnd.choice(kinds)() for _ in range(n)) for n in sizes]
+    token = re.compile(secret_scan.TOKEN)
+    ratios = [1.0] * secret_scan.SIZE**2  # every token is random
+    spans = {}
+    for r in secret_scan.report(frame(spark, texts), ratios).collect():
+        found = [(int(a), int(b), k) for k, a, b in (x.split(":") for x in r["spans"].split(",") if x)]
+        base = [(a, b) for a, b, k in found if k != "markov"]
+        own = [m.span() for m in token.finditer(texts[r["doc_id"]]) if len(m[0]) >= 21]
+        inside = np.array(base).reshape(-1, 2)
+        free = [(a, b) for a, b in own if not ((inside[:, 0] < b) & (a < inside[:, 1])).any()]
+        assert sorted((a, b) for a, b, k in found if k == "markov") == free
+        spans[r["doc_id"]] = sorted(found)
+    for r in secret_scan.redact(frame(spark, texts), ratios=ratios).collect():
+        text, at, out = texts[r["doc_id"]], 0, ""
+        for start, end, _ in spans[r["doc_id"]]:
+            if end > at:
+                out, at = out + (text[at:start] + "<secret>" if start >= at else ""), end
+        assert r["text"] == out + text[at:] and r["n_chars"] == len(r["text"])
+
+
 # --- sharding
 
 
@@ -403,6 +430,25 @@ def test_top_k_equals_brute_force_with_ties_and_odd_vectors(spark):
     assert topk.top_k(rows.where("id < 3"), F.col("id") % 100 == 0).count() == 2
 
 
+def test_top_k_of_null_ids_and_wide_ranges(spark):
+    vectors = [[float(i % 7), -1.0, 0.5] for i in range(400)]
+    vectors[5] = [2000.0, 3.0, 1.0]
+    ids = [None if i % 50 == 1 else i for i in range(400)]
+    df = spark.createDataFrame(list(zip(ids, vectors, strict=True)), "vec_id long, embedding array<double>")
+    rows = topk.integer_vectors(df, "vec_id", "embedding")
+    known = {i: [math.floor(1024 * x) for x in v] for i, v in zip(ids, vectors, strict=True) if i is not None}
+    got = collections.defaultdict(list)
+    for r in topk.top_k(rows, F.col("id") % 100 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert set(got) == {0, 100, 200, 300}
+    for q, found in got.items():
+        scored = sorted((-sum(a * b for a, b in zip(known[q], v, strict=True)), i) for i, v in known.items() if i != q)
+        assert found == [(i, -s) for s, i in scored[:10]]
+    wide = spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="components too large"):
+        topk.top_k(topk.integer_vectors(wide, "vec_id", "embedding"), F.col("id") == 0).collect()
+
+
 # --- quality
 
 
@@ -427,6 +473,44 @@ def test_outliers_go_and_clean_texts_stay(spark):
     assert not any(kept[i] for i in range(400, 440))
 
 
+def test_small_groups_are_judged_by_pools_then_by_the_whole_table(spark):
+    clean, junk = [words(60 + i % 90, i) for i in range(150)], "".join(w + "### " for w in words(80, 1).split())
+    texts, langs = clean + [junk] * 3, ["en"] * 150 + ["rare", None, "en"]
+    rows = {r["doc_id"]: r for r in quality.judge(frame(spark, texts, langs, ["a"] * 153)).collect()}
+    assert not any(rows[i]["kept"] for i in (150, 151, 152)) and rows[150]["distance"] == rows[151]["distance"]
+    assert sum(rows[i]["kept"] for i in range(150)) >= 148
+    # many small languages are one pool
+    langs = [f"l{i % 40}" for i in range(153)]
+    rows = {r["doc_id"]: r for r in quality.judge(frame(spark, texts, langs, ["a"] * 153)).collect()}
+    assert not any(rows[i]["kept"] for i in (150, 151, 152)) and sum(rows[i]["kept"] for i in range(150)) >= 148
+    few = quality.judge(frame(spark, [*clean[:10], junk])).collect()
+    assert all(r["kept"] and r["distance"] is None for r in few)
+
+
+def test_verdicts_equal_a_plain_estimate(spark):
+    texts = [words(60 + i % 90, i) for i in range(500)] + ["".join(w + "### " for w in words(80, i).split()) for i in range(60)]
+    docs = frame(spark, texts, sources=["a"] * 560)
+    x = np.array([[r[c] for c in quality.FEATURES] for r in quality.text_statistics(docs).orderBy("doc_id").collect()])
+    rng, h, ridge, best = np.random.default_rng(9), math.ceil(0.75 * 560), np.diag(np.square(quality.FLOORS)), None
+    for _ in range(100):
+        inside = rng.choice(560, 10, replace=False)
+        for _ in range(40):
+            center, cov = x[inside].mean(0), np.cov(x[inside].T, bias=True) + ridge
+            d2 = np.einsum("ij,jk,ik->i", x - center, np.linalg.inv(cov), x - center)
+            inside = np.argsort(d2)[:h]
+        if best is None or np.linalg.det(cov) < best[0]:
+            best = (np.linalg.det(cov), d2)
+    scale = 0.75 / quality.chi2_cdf(quality.chi2_quantile(0.75, 8), 10)
+    want = best[1] / scale
+    rows = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    got = np.array([rows[i]["distance"] for i in range(560)])
+    assert np.median(np.abs(got / want - 1)) < 0.03
+    limit = quality.chi2_quantile(quality.CONFIDENCE, 8)
+    clear = np.abs(want / limit - 1) > 0.1
+    assert clear.mean() > 0.98
+    assert all(rows[i]["kept"] == bool(want[i] <= limit and not rows[i]["base_failed"]) for i in np.flatnonzero(clear).tolist())
+
+
 def test_concentration_finds_the_clean_majority():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(size=(800, quality.P)), rng.normal(8, 1, size=(150, quality.P))])
@@ -481,6 +565,16 @@ def test_code_lengths_equal_the_definition():
     assert np.allclose(model.lengths([text, b"", text])[[0, 2]], [want, want])
 
 
+def test_rare_grams_count_in_the_lower_orders():
+    text = np.frombuffer(b"\n\n\nabcdefgh abcd", np.uint8)
+    grams, n = np.unique(langid._grams(text, 4), return_counts=True)
+    pruned = langid.Model(["x"], grams, np.zeros(len(grams), int), n.astype(float), 2)
+    whole = langid.Model(["x"], grams, np.zeros(len(grams), int), n.astype(float))
+    for order in range(langid.ORDER):
+        assert all(np.array_equal(a, b) for a, b in zip(pruned.levels[order], whole.levels[order], strict=True))
+    assert pruned.levels[langid.ORDER][0].tolist() == grams[n >= 2].tolist() and len(whole.levels[langid.ORDER][0]) == len(grams)
+
+
 def test_texts_without_letters_are_undetermined(spark):
     docs = frame(spark, [None, "", "12 34 !!", words(30, 1)])
     model = langid.learn(docs.select("lang", "text"))
