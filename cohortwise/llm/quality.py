@@ -57,6 +57,8 @@ WHOLE = "all"
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 _BINS_PER_OCTAVE, _LOWEST = 16, -12.0
 _SYMBOLS = b"#*$%&|<>"
+#: Words by which markup sets columns, headings, list items and quotations: no noise, so no part of the features of symbols and word length.
+_LAYOUT = (b"|", b"#", b"*", b">")
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _DIGITS = b"0123456789"
 
@@ -88,9 +90,9 @@ def _repeated_words(words: list[bytes]) -> int:
 
 
 def statistics_of(data: bytes | None) -> tuple[int, ...]:
-    """The five reported numbers, then lines with a word, capitals, words equal to the one before, digits."""
+    """The five reported numbers, then lines with a word, capitals, words equal to the one before, digits, layout marks."""
     if not data:
-        return (0,) * 9
+        return (0,) * 10
     words = data.split()
     joined = b"".join(words)
     lines = [line for line in data.split(b"\n") if line.strip()]
@@ -104,6 +106,7 @@ def statistics_of(data: bytes | None) -> tuple[int, ...]:
         len(data) - len(data.translate(None, _UPPER)),
         sum(map(operator.eq, words, words[1:])),
         len(data) - len(data.translate(None, _DIGITS)),
+        sum(map(words.count, _LAYOUT)),
     )
 
 
@@ -112,15 +115,14 @@ def text_statistics(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            table = np.array([statistics_of(t) for t in texts_of(batch)], np.int64).reshape(-1, 9)
-            n, chars, symbols, dup, rep, lines, upper, echoes, digits = table.T
-            known = np.maximum(n, 1)
+            table = np.array([statistics_of(t) for t in texts_of(batch)], np.int64).reshape(-1, 10)
+            n, chars, symbols, dup, rep, lines, upper, echoes, digits, marks = table.T
             features = (
                 np.log1p(n),
-                np.log(np.maximum(chars, 1) / known),
+                np.log(np.maximum(chars - marks, 1) / np.maximum(n - marks, 1)),
                 *(
                     np.arcsin(np.sqrt(np.minimum(1.0, part / np.maximum(whole, 1))))
-                    for part, whole in ((symbols, chars), (dup, lines), (rep, n), (upper, chars), (echoes, n), (digits, chars))
+                    for part, whole in ((symbols - marks, chars), (dup, lines), (rep, n), (upper, chars), (echoes, n), (digits, chars))
                 ),
             )
             failed = (n < MIN_WORDS) | (100 * rep > MAX_REPEATED * n)

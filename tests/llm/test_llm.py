@@ -473,6 +473,15 @@ def test_outliers_go_and_clean_texts_stay(spark):
     assert not any(kept[i] for i in range(400, 440))
 
 
+def test_tables_and_headings_are_no_noise(spark):
+    texts = [words(60 + i % 90, i) for i in range(300)]
+    texts += ["# " + words(6, i) + "\n" + "\n".join(words(12, 100 * i + k).replace(" ", " | ") for k in range(8)) for i in range(10)]
+    texts += ["".join(w + "| " for w in words(90, i).split()) for i in range(10)]
+    rows = {r["doc_id"]: r for r in quality.judge(frame(spark, texts, sources=["a"] * 320)).collect()}
+    assert all(rows[i]["kept"] and rows[i]["n_symbols"] == 89 for i in range(300, 310))
+    assert not any(rows[i]["kept"] for i in range(310, 320))
+
+
 def test_small_groups_are_judged_by_pools_then_by_the_whole_table(spark):
     clean, junk = [words(60 + i % 90, i) for i in range(150)], "".join(w + "### " for w in words(80, 1).split())
     texts, langs = clean + [junk] * 3, ["en"] * 150 + ["rare", None, "en"]
