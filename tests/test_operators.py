@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.contract import CLINICAL, Contract, Field
 from cohortwise.functions.scalar import band, clip, interval_number, points, ratio, zero_to_null
-from cohortwise.operators import clean, cohort, evaluate, folds, knn, moments, profile, quantiles, rank_tests, ranks, scale
+from cohortwise.operators import clean, cohort, density, evaluate, folds, knn, moments, profile, quantiles, rank_tests, ranks, scale
 from cohortwise.operators.features import CLINICAL_DERIVATIONS, derive
 from cohortwise.sources import gate, readers, sinks, synthetic
 from cohortwise.sources.staging import new_path, stage
@@ -546,3 +546,24 @@ def test_rows_without_a_label_take_no_part_in_ranking(spark):
     df = spark.createDataFrame([(0.9, 1), (0.5, 0), (0.5, None), (0.7, None), (0.2, 0)], "s double, y int")
     assert column(evaluate.average_precision(df, "y", "s"), "pr_auc") == [1.0]
     assert column(evaluate.roc_auc(df, "y", "s"), "roc_auc") == [1.0]
+
+
+def test_density_keeps_its_error_bound_on_far_and_repeated_readings(spark):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(0, 1, 700), np.full(200, 2.5), rng.normal(60, 0.1, 99), [900.0]])
+    df = spark.createDataFrame([(float(v), i % 2) for i, v in enumerate(values)] + [(None, 0), (float("nan"), 1)], "v double, y int")
+    width = values.std(ddof=1) * len(values) ** -0.2
+    for tolerance in (1e-4, 1e-16):
+        rows = density.density(df, ["v"], tolerance=tolerance).orderBy("point_no").collect()
+        x = np.array([r["x"] for r in rows])
+        plain = np.exp(-(((x[:, None] - values) / width) ** 2) / 2).mean(axis=1) / (width * math.sqrt(2 * math.pi))
+        error = np.abs(np.array([r["density"] for r in rows]) - plain).max() * width * math.sqrt(2 * math.pi)
+        assert len(rows) == density.GRID_POINTS and error < max(tolerance, 1e-15)
+
+
+def test_density_sums_boxes_before_points_are_touched(spark):
+    df = spark.range(4000).select((F.col("id") / 7).alias("v"), (F.col("id") % 2).cast("int").alias("y"))
+    steps = density.density(df, ["v"], "y", (0, 1))._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = lambda word: next(i for i, line in enumerate(steps) if word in line)
+    assert at("Generate explode(CASE") < at(", box#") < at("Generate inline")  # from the top of the plan down
+    assert density.density(df.limit(1), ["v"]).isEmpty() and density.density(df.where("v < 0"), ["v"]).isEmpty()
