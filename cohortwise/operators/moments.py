@@ -1,6 +1,6 @@
-"""Second moments of all pairs of columns from one scan, whatever the number of columns.
+"""Moments of all columns and of all pairs of columns from one scan, whatever the number of columns.
 
-Each task keeps, for the rows it sees, the matrices of joint counts, sums and products of centred values over the
+For pairs, each task keeps, for the rows it sees, the matrices of joint counts, sums and products of centred values over the
 rows where both columns of a pair are present, and hands them on as one row per pair when it ends. Matrix products
 do the work, so a hundred columns are one scan and one small aggregate.
 """
@@ -77,3 +77,59 @@ def pearson(numbers: DataFrame, columns: Sequence[str], digits: int) -> DataFram
         names[F.col("i")].alias("row_field"), names[F.col("j")].alias("column_field"),
         F.when(varies, F.round(F.nanvl(r, F.lit(None).cast("double")), digits)).alias("correlation"),
     )
+
+
+_COLUMN_SUMS = ("n", "s1", "s2", "s3", "s4", "zeros", "inside")
+_COLUMN_EDGES = (("low", F.min), ("high", F.max), ("low_inside", F.min), ("high_inside", F.max))
+
+
+def _column_rows(centres: np.ndarray, floors: np.ndarray, ceilings: np.ndarray):
+    groups, width = centres.shape
+
+    def run(batches):
+        seen = np.zeros(groups, dtype=np.int64)
+        sums = np.zeros((len(_COLUMN_SUMS), groups, width))
+        edges = np.full((len(_COLUMN_EDGES), groups, width), np.nan)
+        for batch in batches:
+            for block in _blocks(batch, np.zeros(width + 1)):
+                for g in np.unique(block[:, width]).astype(int):
+                    x = block[block[:, width] == g, :width]
+                    have = ~np.isnan(x)
+                    d = np.where(have, x - centres[g], 0.0)
+                    within = (x >= floors[g]) & (x <= ceilings[g])
+                    inner = np.where(within, x, np.nan)
+                    seen[g] += len(x)
+                    square = d * d
+                    for k, part in enumerate((have, d, square, square * d, square * square, x == 0, within)):
+                        sums[k, g] += part.sum(axis=0)
+                    for k, (part, pick) in enumerate(((x, np.fmin), (x, np.fmax), (inner, np.fmin), (inner, np.fmax))):
+                        edges[k, g] = pick(edges[k, g], pick.reduce(part, axis=0))
+        g, i = (a.ravel() for a in np.indices((groups, width)))
+        whole = [pa.array(g, pa.int32()), pa.array(i, pa.int32()), pa.array(seen[g], pa.int64())]
+        arrays = [pa.array(m.ravel(), from_pandas=True) for m in (*sums, *edges)]
+        yield pa.RecordBatch.from_arrays([*whole, *arrays], names=["g", "i", "seen", *_COLUMN_SUMS, *[c for c, _ in _COLUMN_EDGES]])
+
+    return run
+
+
+def column_moments(numbers: DataFrame, columns: Sequence[str], centres, floors, ceilings, entries: DataFrame, group=None) -> DataFrame:
+    """``entries`` with seen, n, s1 to s4, zeros, inside, low, high, low_inside, high_inside of their group and column.
+
+    ``entries`` is a small table with a row per group ``g`` and column ``i`` and whatever else is known of them. Its
+    rows join the tasks' rows in the aggregate, so an entry without any row of ``numbers`` is there too.
+    ``centres``, ``floors`` and ``ceilings`` hold a row per group and a value per column: ``s1`` to ``s4`` are sums of
+    powers of the distance to the centre, ``inside`` counts values from floor to ceiling. ``group`` is a column with
+    the row of a group, NULL for rows of none; without it all rows are group 0. ``numbers`` holds doubles, NaN as NULL.
+    """
+    shape = (-1, len(columns))
+    limits = [np.array(part, dtype=float).reshape(shape) for part in (centres, floors, ceilings)]
+    rows = numbers.select(*[F.col(c).cast("double") for c in columns], (F.lit(0) if group is None else group).cast("double").alias("_group"))
+    kept = ", ".join(f"{c} double" for c in (*_COLUMN_SUMS, *[c for c, _ in _COLUMN_EDGES]))
+    parts = rows.where(F.col("_group").isNotNull()).mapInArrow(_column_rows(*limits), f"g int, i int, seen long, {kept}")
+    known = [c for c in entries.columns if c not in ("g", "i")]
+    none = {"seen": F.lit(0), **{c: F.lit(0.0) for c in _COLUMN_SUMS}}
+    both = parts.unionByName(entries.withColumns(none), allowMissingColumns=True)
+    return both.groupBy("g", "i").agg(
+        *[F.max(c).alias(c) for c in known], F.sum("seen").alias("seen"),
+        *[F.sum(c).alias(c) for c in _COLUMN_SUMS], *[f(c).alias(c) for c, f in _COLUMN_EDGES],
+    ).sortWithinPartitions("g", "i")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import class_label, is_missing, nan_to_null, severity
-from .moments import pearson
+from .moments import column_moments, pearson
 from .quantiles import column_quantiles, group_quantiles
 from .shape import batched_rows, rows_of
 
@@ -28,14 +28,24 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part * F.lit(100.0), whole)
 
 
-def numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _floats(values) -> list[float | None]:
+    return [None if v is None else float(v) for v in values]
+
+
+def _centre(value) -> float:
+    """A finite number to measure distances from."""
+    return float(value) if value is not None and math.isfinite(value) else 0.0
+
+
+def numbers(df: DataFrame, columns: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     """The columns as doubles, NaN as NULL; an integer column cannot hold NaN and is only cast."""
     kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
     return df.select(
         *[
             (nan_to_null(F.col(c)) if kinds[c] in ("float", "double") else F.col(c).cast("double")).alias(c)
             for c in columns
-        ]
+        ],
+        *extra,
     )
 
 
@@ -44,53 +54,41 @@ def summary_statistics(
 ) -> DataFrame:
     """Count, mean, std, five-number summary, biased skewness and excess kurtosis, zeros and NULLs.
 
-    Means come from the first scan; the second sums powers of the distance to them, which is both
-    stable and small enough to be compiled for many columns at once.
+    Besides the quantiles, one scan for all columns: it sums powers of the distance to the median, which is at most
+    one standard deviation from the mean, and the moments about the mean follow from them.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
     values = numbers(df, columns)
     fits = column_quantiles(values, columns, [0.25, 0.5, 0.75], mode, **limits)
-    means = values.agg(*[F.avg(c).alias(f"a{i}") for i, c in enumerate(columns)]).first()
-    entries = []
-    rounded = lambda e: F.round(e, digits)
-    for i, name in enumerate(columns):
-        c = F.col(name)
-        away = c - F.lit(means[f"a{i}"]).cast("double")
-        aggs = [
-            F.count(F.lit(1)).alias(f"all{i}"),
-            F.min(c).alias(f"min{i}"),
-            F.max(c).alias(f"max{i}"),
-            F.sum(away * away).alias(f"s2_{i}"),
-            F.sum(away * away * away).alias(f"s3_{i}"),
-            F.sum(away * away * away * away).alias(f"s4_{i}"),
-            F.count_if(c == 0).alias(f"zero{i}"),
-        ]
-        n, q = fits[name].count, fits[name].values
-        s2, s3, s4 = (F.col(f"s{k}_{i}") for k in (2, 3, 4))
-        enough = F.lit(n > 2) & (s2 > 0)
-        total = F.col(f"all{i}")
-        null_count = total - F.lit(n)
-        row = (
-            {
-                "feature": F.lit(name),
-                "present": F.lit(n).cast("bigint"),
-                "mean": rounded(_number(means[f"a{i}"])),
-                "std": rounded(F.sqrt(s2 / (n - 1))) if n > 1 else _number(None),
-                "min": rounded(F.col(f"min{i}")),
-                "q25": rounded(_number(q[0])),
-                "median": rounded(_number(q[1])),
-                "q75": rounded(_number(q[2])),
-                "max": rounded(F.col(f"max{i}")),
-                "skewness": rounded(F.when(enough, math.sqrt(n) * s3 / F.pow(s2, 1.5))),
-                "kurtosis": rounded(F.when(enough, n * s4 / (s2 * s2) - 3)),
-                "zero_count": F.col(f"zero{i}"),
-                "zero_pct": F.round(_percent(F.col(f"zero{i}"), total), 2),
-                "null_count": null_count,
-                "null_pct": F.round(_percent(null_count, total), 2),
-            }
-        )
-        entries.append((aggs, [row]))
-    return batched_rows(values, entries, SUMMARIES_PER_SCAN)
+    spine = [(0, i, c, fits[c].count, *_floats(fits[c].values)) for i, c in enumerate(columns)]
+    table = df.sparkSession.createDataFrame(
+        spine, "g int, i int, feature string, present long, q25 double, median double, q75 double"
+    )
+    centres = [_centre(fits[c].values[1]) for c in columns]
+    sums = column_moments(values, columns, centres, centres, centres, table)
+    n, shift = F.col("present"), F.col("s1") / F.col("present")
+    s2 = F.col("s2") - F.col("s1") * shift
+    s3 = F.col("s3") - 3 * shift * F.col("s2") + 2 * n * shift * shift * shift
+    s4 = F.col("s4") - 4 * shift * F.col("s3") + 6 * shift * shift * F.col("s2") - 3 * n * F.pow(shift, F.lit(4))
+    powers = {"p2": s2, "p3": s3, "p4": s4, "mean": F.col("median") + shift}
+    wide = sums.withColumns({k: F.when(n > 0, e) for k, e in powers.items()})
+    enough, total, zeros = (n > 2) & (F.col("p2") > 0), F.col("seen"), F.col("zeros").cast("bigint")
+    rounded = lambda e, name: F.round(e, digits).alias(name)
+    return wide.select(
+        "feature",
+        "present",
+        rounded(F.col("mean"), "mean"),
+        rounded(F.when(n > 1, F.sqrt(F.col("p2") / (n - 1))), "std"),
+        rounded(F.col("low"), "min"),
+        *[rounded(F.col(c), c) for c in ("q25", "median", "q75")],
+        rounded(F.col("high"), "max"),
+        rounded(F.when(enough, F.sqrt(n) * F.col("p3") / F.pow("p2", F.lit(1.5))), "skewness"),
+        rounded(F.when(enough, n * F.col("p4") / (F.col("p2") * F.col("p2")) - 3), "kurtosis"),
+        zeros.alias("zero_count"),
+        F.round(_percent(zeros, total), 2).alias("zero_pct"),
+        (total - n).alias("null_count"),
+        F.round(_percent(total - n, total), 2).alias("null_pct"),
+    )
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, **options) -> DataFrame:
@@ -255,10 +253,8 @@ def correlation(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataF
     return pearson(numbers(df, columns), columns, digits)
 
 
-#: column pairs, and columns with their box statistics, handled in one aggregate
+#: column pairs handled in one aggregate
 PAIRS_PER_SCAN = 15
-BOXES_PER_SCAN = 6
-SUMMARIES_PER_SCAN = 8
 
 
 def correlation_of(df: DataFrame, pairs, columns: Sequence[str], digits: int) -> DataFrame:
@@ -290,37 +286,41 @@ def box_statistics(
         fits = {(None, c): f for c, f in column_quantiles(df, columns, [0.25, 0.5, 0.75], mode, **limits).items()}
     else:
         fits = group_quantiles(df, columns, [0.25, 0.5, 0.75], by, groups, mode, **limits)
-    entries = []
-    for i, ((group, name), fit) in enumerate(fits.items()):
-        c = F.col(name) if by is None else F.when(F.col(by) == F.lit(group), F.col(name))
-        c = nan_to_null(c)
-        q1, median, q3 = fit.values
-        if fit.count:
-            reach = 1.5 * (q3 - q1)
-            inside = (c >= F.lit(q1 - reach)) & (c <= F.lit(q3 + reach))
-        else:
-            inside = F.lit(False)
-        aggs = [
-            F.min(F.when(inside, c)).alias(f"lo{i}"),
-            F.max(F.when(inside, c)).alias(f"hi{i}"),
-            F.count_if(~inside).alias(f"out{i}"),
-            F.min(c).alias(f"min{i}"),
-            F.max(c).alias(f"max{i}"),
-            F.avg(c).alias(f"mean{i}"),
-        ]
-        row = ({} if by is None else {by: F.lit(group)}) | (
-            {
-                "field": F.lit(name),
-                "q1": _number(q1),
-                "median": _number(median),
-                "q3": _number(q3),
-                "lower": F.coalesce(F.col(f"lo{i}"), _number(q1)),
-                "upper": F.coalesce(F.col(f"hi{i}"), _number(q3)),
-                "outliers": F.col(f"out{i}") if fit.count else F.lit(0).cast("bigint"),
-                "min": F.col(f"min{i}"),
-                "max": F.col(f"max{i}"),
-                "mean": F.col(f"mean{i}"),
-            }
-        )
-        entries.append((aggs, [row]))
-    return batched_rows(df, entries, BOXES_PER_SCAN)
+    # every group and column once; a reach of NaN takes nothing in
+    order = list(groups) if by is not None else [None]
+    spine, centres, floors, ceilings = [], [], [], []
+    for g, group in enumerate(order):
+        for i, name in enumerate(columns):
+            fit = fits[group, name]
+            q1, median, q3 = _floats(fit.values)
+            reach = 1.5 * (q3 - q1) if fit.count else math.nan
+            centres.append(_centre(median))
+            floors.append(q1 - reach if fit.count else math.nan)
+            ceilings.append(q3 + reach if fit.count else math.nan)
+            spine.append((g, i, group, name, q1, median, q3))
+    kind = df.schema[by].dataType.simpleString() if by is not None else "string"
+    table = df.sparkSession.createDataFrame(
+        spine, f"g int, i int, _group {kind}, field string, q1 double, median double, q3 double"
+    )
+    member = None
+    if by is not None:
+        member = F.lit(None).cast("int")
+        for g, group in reversed(list(enumerate(order))):
+            member = F.when(F.col(by) == F.lit(group), F.lit(g)).otherwise(member)
+    values = numbers(df, columns, [] if member is None else [member.alias("_member")])
+    sums = column_moments(
+        values, columns, centres, floors, ceilings, table, None if member is None else F.col("_member")
+    )
+    return sums.select(
+        *([] if by is None else [F.col("_group").alias(by)]),
+        "field",
+        "q1",
+        "median",
+        "q3",
+        F.coalesce("low_inside", "q1").alias("lower"),
+        F.coalesce("high_inside", "q3").alias("upper"),
+        (F.col("n") - F.col("inside")).cast("bigint").alias("outliers"),
+        F.col("low").alias("min"),
+        F.col("high").alias("max"),
+        F.when(F.col("n") > 0, F.col("median") + F.col("s1") / F.col("n")).alias("mean"),
+    )

@@ -567,3 +567,42 @@ def test_density_sums_boxes_before_points_are_touched(spark):
     at = lambda word: next(i for i, line in enumerate(steps) if word in line)
     assert at("Generate explode(CASE") < at(", box#") < at("Generate inline")  # from the top of the plan down
     assert density.density(df.limit(1), ["v"]).isEmpty() and density.density(df.where("v < 0"), ["v"]).isEmpty()
+
+
+def test_wide_profiles_take_one_scan_beside_the_quantiles(spark):
+    rng = np.random.default_rng(3)
+    data = pd.DataFrame({f"c{i}": rng.gamma(1 + i % 4, 10.0**(i % 5), 300) + 1e6 * (i % 3) for i in range(40)})
+    data = data.mask(rng.random(data.shape) < 0.1).assign(none=np.nan, same=4.0, y=np.arange(300) % 3)
+    df = spark.createDataFrame(data)
+    columns = [c for c in data.columns if c != "y"]
+    summary = profile.summary_statistics(df, columns, 6)
+    boxes = profile.box_statistics(df, columns, "y", (0, 1, 5))
+    for table in (summary, boxes):
+        text = table._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("MapInArrow") == 1
+    rows = summary.collect()
+    assert sorted(r.feature for r in rows) == sorted(columns)
+    for r in rows:
+        x = data[r.feature].dropna()
+        assert r.present == len(x) and r.null_count == 300 - len(x)
+        if r.feature == "none":
+            assert r.mean is None and r.min is None and r.skewness is None
+            continue
+        assert r.mean == pytest.approx(x.mean(), abs=1e-5) and r.std == pytest.approx(x.std(), abs=1e-5)
+        if r.feature == "same":
+            assert r.std == 0 and r.skewness is None and r.kurtosis is None
+            continue
+        z = (x - x.mean()) / x.std(ddof=0)
+        assert r.skewness == pytest.approx((z**3).mean(), rel=1e-5, abs=1e-5)
+        assert r.kurtosis == pytest.approx((z**4).mean() - 3, rel=1e-5, abs=1e-5)
+    for r in boxes.collect():
+        x = data[data.y == r.y][r.field].dropna()
+        if not len(x):
+            assert r.q1 is None and r.mean is None and r.outliers == 0
+            continue
+        q1, q3 = x.quantile(0.25), x.quantile(0.75)
+        kept = x[(x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))]
+        assert (r.lower, r.upper, r.min, r.max) == (kept.min(), kept.max(), x.min(), x.max())
+        assert r.outliers == len(x) - len(kept) and r.mean == pytest.approx(x.mean())
+    empty = profile.summary_statistics(df.where("false"), ["c0"]).collect()
+    assert [(r.present, r.null_count, r["mean"], r.zero_pct) for r in empty] == [(0, 0, None, None)]
