@@ -1,9 +1,13 @@
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from cohortwise.learners.artifact import load_scorer, publish
-from cohortwise.learners.pipelines import Settings, candidates, probability
+from cohortwise.learners.pipelines import Settings, candidates, fourier_columns, probability, support_vector
 from cohortwise.learners.stacking import folded_table, keyed, leaderboard, out_of_fold, scores_table, stacking
+from cohortwise.operators.evaluate import roc_auc
+from cohortwise.operators.folds import stratified_folds
 from cohortwise.plans import train_job
 from cohortwise.plans.order_cohort import CONTRACT, KEY, TARGET
 from cohortwise.sources.staging import new_path, stage
@@ -111,3 +115,27 @@ def test_fits_side_by_side_equal_fits_in_turn(table):
     assert len(one) == len(many) == 400
     for m in learners:
         assert abs(one[m.name].to_numpy() - many[m.name].to_numpy()).max() < 1e-6
+
+
+def test_kernel_margin_separates_rings_a_line_cannot(spark):
+    draw = np.random.default_rng(7)
+    y = np.arange(600) % 3 // 2
+    angle, radius = draw.uniform(0, 2 * np.pi, 600), np.where(y == 1, 1.0, 3.0) + draw.normal(0, 0.2, 600)
+    rings = pd.DataFrame({"id": range(600), "a": radius * np.cos(angle), "b": radius * np.sin(angle), "y": y})
+    df = stage(stratified_folds(keyed(spark.createDataFrame(rings), "id"), "id", "y", 3, 1), "rings")
+    scores = {}
+    for terms in (0, 64):
+        learner = support_vector(["a", "b"], "y", Settings(kernel_terms=terms, calibration_folds=2, svm_iterations=20))
+        model = learner.fit(df.where("fold != 0"))
+        held = model.transform(df.where("fold = 0")).select("y", probability(learner.output).alias("p"))
+        scores[terms] = roc_auc(held, "y", "p").first()[0]
+    assert scores[0] < 0.75 and scores[64] > 0.95
+
+
+def test_fourier_features_approach_the_radial_kernel(spark):
+    draw = np.random.default_rng(1)
+    points = draw.normal(0, 1, (12, 3))
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points], "a double, b double, c double")
+    waves = np.array(df.selectExpr(*fourier_columns(["a", "b", "c"], 400, 3)).collect())
+    kernel = np.exp(-((points[:, None] - points[None]) ** 2).sum(axis=2) / 3)
+    assert np.abs(waves @ waves.T - kernel).max() < 5 / np.sqrt(400)
