@@ -471,6 +471,7 @@ ORACLES: dict[str, str] = {
     "corr_long": _corr([*COLUMNS, "outcome"], 6),
     "corr_heatmap": _corr([*COLUMNS, "outcome"], 2),
     "spearman": _spearman(),
+    "spearman_in_buckets": _spearman(),
     "spearman_pairwise": _spearman_pairwise(),
     "box_stats": _boxes(False),
     "box_by_class": _boxes(True),
