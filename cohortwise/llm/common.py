@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Text handled by one call of the vectorised hashing, so that its arrays stay below about 100 MB.
 CHUNK_BYTES = 1 << 21
+#: Whole texts that a worker gets at a time. Larger batches stay in the memory of workers that wait for later stages.
+BATCH_ROWS = 512
 #: Tables of at most so many rows (a few hundred bytes each) are broadcast; larger ones are joined by shuffle.
 SMALL_ROWS = 20_000
 #: The same for tables that hold a key and one number.

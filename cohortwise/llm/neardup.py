@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import chunks, mix, odd_numbers, texts_of, window_codes, word_codes
+from .common import BATCH_ROWS, arrow_rows, chunks, mix, odd_numbers, texts_of, window_codes, word_codes
 
 SHINGLE = 5
 #: Percent of the union that the intersection must reach.
@@ -173,7 +173,8 @@ def _across(shared: DataFrame, sets: DataFrame, roots: DataFrame, similarity: in
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """Per document: n_shingles, component_id (smallest doc_id linked to it, directly or not) and kept."""
-    known = stage(sketches(docs, width), "sketches")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        known = stage(sketches(docs, width), "sketches")
     members = known.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("first", "second")])
     members = stage(members, "members")
     halves = members.select("id", F.posexplode(F.concat("first", "second")).alias("i", "x"))
@@ -189,7 +190,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: int = SIM
     pairs = stage(star.select("p.*").where("a < b").distinct(), "pairs")
     involved = shared.select(F.col("id").alias("doc_id")).distinct()
     once = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(involved, "doc_id", "left_semi")
-    sets = stage(_sets(once, width).groupBy("id").agg(F.first("codes").alias("codes")), "sets")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        sets = stage(_sets(once, width).groupBy("id").agg(F.first("codes").alias("codes")), "sets")
     links = stage(confirmed(pairs, sets, similarity), "links")
     roots = components(links)
     rest = _across(shared.select("id", "key"), sets, roots, similarity).join(pairs, ["a", "b"], "left_anti")

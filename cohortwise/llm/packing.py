@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import arrow_rows, chunks, if_small
+from .common import BATCH_ROWS, arrow_rows, chunks, if_small
 from .tokens import Encoder
 
 CAPACITY = 2048
@@ -33,8 +33,7 @@ END_ID = 1
 CELL_PIECES = 1 << 16
 #: Tokens of the pieces that are filled together, so that a cell of long pieces stays small too.
 CELL_TOKENS = 1 << 22
-#: Rows that a worker gets at a time, and pieces of text that it remembers.
-BATCH_ROWS = 512
+#: Pieces of text that a worker remembers.
 KEPT_PIECES = 800_000
 
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import if_small, texts_of
+from .common import BATCH_ROWS, arrow_rows, if_small, texts_of
 
 MIN_WORDS = 20
 #: Percent of words that may lie in repeated windows.
@@ -283,7 +283,8 @@ def _groups(stats: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """Statistics, ``base_failed``, ``kept`` and the scaled squared ``distance`` of every document."""
-    stats = stage(text_statistics(docs), "quality")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        stats = stage(text_statistics(docs), "quality")
     groups = stage(_groups(stats), "groups")
     same = F.col("lang").eqNullSafe(F.col("own_lang")) & F.col("source").eqNullSafe(F.col("own_source"))
     keyed = stats.join(if_small(groups), same, "left")

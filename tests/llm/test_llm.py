@@ -615,3 +615,19 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert set(seen[3]) == set(seen[2]) and max(seen[3].values()) == 2
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in rows} == set(seen[3])
+
+
+def test_large_tables_of_texts_reach_workers_in_small_batches(spark, monkeypatch):
+    """A worker that waits for later stages keeps what its largest batch took."""
+    rows = {}
+    for module in (quality, neardup):
+        def staged(df, name, *args, kept=module.stage, **kw):
+            rows.setdefault(name, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+            return kept(df, name, *args, **kw)
+
+        monkeypatch.setattr(module, "stage", staged)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = frame(spark, [words(40, i % 50) for i in range(120)])
+    assert quality.judge(docs).count() == neardup.near_duplicates(docs).count() == 120
+    assert max(rows[k] for k in ("quality", "sketches", "sets")) <= 512
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
