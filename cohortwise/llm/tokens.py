@@ -18,8 +18,12 @@ from array import array
 #: Pieces (about 200 bytes each) that a worker process keeps before those not met since the last time are dropped.
 KEPT_PIECES = 500_000
 
-#: Words whose splitting and lower case need no tables, and marks that are split from them.
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z")
+#: Runs of marks behind words whose ids a worker process keeps.
+KEPT_MARKS = 10_000
+
+#: Letters whose splitting and lower case need no tables, and marks that a splitter leaves together behind them.
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -38,6 +42,20 @@ def _of_process() -> dict:
     return vars(sys.modules.setdefault("cohortwise_of_process", types.ModuleType("cohortwise_of_process")))
 
 
+class _Known(dict):
+    """Ids of pieces. One that is not there is taken from the ``older`` table, or encoded, when it is looked up."""
+
+    def __init__(self, encode, older: dict):
+        self.encode, self.older = encode, older
+
+    def __missing__(self, piece: str) -> bytes | bool:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes."""
 
@@ -58,8 +76,12 @@ class Encoder:
         self.lead = " " if self.tokenizer.encode("a b", add_special_tokens=False).ids != self.tokenizer.encode("ab", add_special_tokens=False).ids and self.tokenizer.normalizer is None else ""
         self.model = self.tokenizer.model
         self.marks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes | bool] = {}
-        self.older: dict[str, bytes | bool] = {}
+        self.pieces = _Known(self._encode_piece, {})
+
+    @property
+    def older(self) -> dict[str, bytes | bool]:
+        """The pieces met before the table was last begun anew."""
+        return self.pieces.older
 
     @staticmethod
     def _any_of(strings, flags: int = 0) -> re.Pattern | None:
@@ -80,30 +102,35 @@ class Encoder:
         """The first piece, then pieces that follow a space or begin with a line feed."""
         return text.replace("\n", " \n" if self.lead else " ").split(" ")
 
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes | bool]:
-        """Ids of pieces that follow others; False for those that cannot be encoded alone.
+    def _encode_piece(self, piece: str) -> bytes | bool:
+        """Ids of a piece that follows others; False for one that cannot be encoded alone.
 
         Words of Latin letters, with or without marks behind, are given to the merging model itself: for them
         the steps before it do nothing but map bytes and, in files that do so, lower the case.
         """
-        out: list[bytes | bool] = [False] * len(pieces)
-        slow = []
-        for i, piece in enumerate(pieces):
-            if found := _WORD.match(piece):
-                word, marks = found.groups()
-                word = self.lead + word if self.lead else word.lower()
-                ids = array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTES))]).tobytes()
-                if marks:
-                    if marks not in self.marks:
-                        self.marks[marks] = self._encode([marks])[0]
-                    ids += self.marks[marks]
-                out[i] = ids
-            elif self._whole(piece):
-                slow.append(i)
-        texts = [pieces[i] if pieces[i][:1] == "\n" or not self.lead else self.lead + pieces[i] for i in slow]
-        for i, ids in zip(slow, self._encode(texts), strict=True):
-            out[i] = ids
-        return out
+        word = piece.rstrip(_MARKS)
+        plain = word.isascii() and word.isalpha()
+        if not plain and not _LETTERS.fullmatch(word):
+            if not self._whole(piece):
+                return False
+            return self._encode([piece if piece[:1] == "\n" or not self.lead else self.lead + piece])[0]
+        marks = piece[len(word) :]
+        if not self.lead:
+            word = word.lower()
+        ids = None
+        if word != piece:  # the same word may be known without its marks
+            ids = self.pieces.get(word) or self.older.get(word)
+        if ids is None:
+            whole = self.lead + word
+            letters = whole if plain and not self.lead else whole.encode().decode("latin-1").translate(_BYTES)
+            ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        if not marks:
+            return ids
+        if marks not in self.marks:
+            if len(self.marks) >= KEPT_MARKS:
+                self.marks.clear()
+            self.marks[marks] = self._encode([marks])[0]
+        return ids + self.marks[marks]
 
     def _whole(self, piece: str) -> bool:
         """Whether a piece from ``_cut`` is encoded alone as it is in its text."""
@@ -125,26 +152,21 @@ class Encoder:
     def _plain(self, texts: list[str]) -> list[bytes]:
         """The ids of texts without added tokens."""
         if len(self.pieces) > self.kept:
-            self.pieces, self.older = {}, self.pieces
-        known, look_up = self.pieces, self.pieces.get
-        cut = [self._cut(t) for t in texts]
-        found = [list(map(look_up, c)) for c in cut]
-        gaps = [[k for k, ids in enumerate(f) if ids is None] if None in f else () for f in found]
-        fresh = dict.fromkeys(c[k] for c, own in zip(cut, gaps, strict=True) for k in own)
-        if self.older:
-            fresh = {piece: self.older.get(piece) for piece in fresh}
-        wanted = [piece for piece, ids in fresh.items() if ids is None]
-        fresh.update(zip(wanted, self._encode_pieces(wanted), strict=True))
-        known.update(fresh)
-        out, odd = [], []
-        for i, (ids, c, f, own) in enumerate(zip(self._encode([c[0] for c in cut]), cut, found, gaps, strict=True)):
-            for k in own:
-                f[k] = fresh[c[k]]
-            f[0] = ids  # nothing stands before the first piece
-            if False in f or (self.lead and len(c) > 1 and (not c[0] or c[0][-1].isspace())):
-                odd.append(i)
-                f.clear()
-            out.append(b"".join(f))
+            self.pieces.older = {}
+            self.pieces = _Known(self._encode_piece, self.pieces)
+        first = self._encode([t.split(" ", 1)[0].split("\n", 1)[0] for t in texts]) if self.lead else ()
+        look_up, out = self.pieces.__getitem__, []
+        for i, text in enumerate(texts):  # one at a time, so that its pieces stay in the processor's cache
+            cut = self._cut(text)
+            found = list(map(look_up, cut))
+            if self.lead:  # nothing stands before the first piece; where spaces are dropped, that is no difference
+                found[0] = first[i]
+            whole = not self.lead or len(cut) == 1 or (cut[0] and not cut[0][-1].isspace())
+            try:
+                out.append(b"".join(found) if whole else None)
+            except TypeError:  # False among the ids
+                out.append(None)
+        odd = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(odd, self._odd([texts[i] for i in odd]), strict=True):
             out[i] = ids
         return out

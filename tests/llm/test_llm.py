@@ -631,3 +631,37 @@ def test_large_tables_of_texts_reach_workers_in_small_batches(spark, monkeypatch
     assert quality.judge(docs).count() == neardup.near_duplicates(docs).count() == 120
     assert max(rows[k] for k in ("quality", "sketches", "sets")) <= 512
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+@pytest.mark.parametrize("file", [CLIP, BYTES])
+def test_a_known_word_is_not_merged_again_for_the_marks_behind_it(file):
+    from cohortwise.llm import tokens
+
+    encoder = tokens.Encoder(tokenizer_path(file))
+    texts = ["a hello größe", "a hello*** hello,$$$ größe&&&", "a hello??? hello&&& größe,###"]
+    texts += ["it's it's'' don't, l'eau's** x_y_ __ a1** 1,000% ***", "\n** hello\n** \n", " hello**", "hello** ", ""]
+    plain = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    encoder.encode(texts[:1])
+    merged, model = [], encoder.model
+
+    class Model:
+        def tokenize(self, word):
+            merged.append(word)
+            return model.tokenize(word)
+
+    encoder.model = Model()
+    whole, encode = [], encoder._encode
+    encoder._encode = lambda given: whole.extend(given) or encode(given)
+    assert encoder.encode(texts[1:3]) == plain[1:3]
+    assert not merged and not any(letter in text for text in whole for letter in "hg")
+    assert encoder.encode(texts) == plain
+
+
+def test_marks_that_are_kept_are_bounded(monkeypatch):
+    from cohortwise.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT_MARKS", 5)
+    encoder = tokens.Encoder(tokenizer_path(CLIP))
+    texts = [f"a word{'*' * i} word{'.' * i}" for i in range(1, 20)]
+    assert encoder.encode(texts) == [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert len(encoder.marks) <= 5
