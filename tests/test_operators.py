@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortwise.contract import CLINICAL, Contract, Field
 from cohortwise.functions.scalar import band, clip, interval_number, points, ratio, zero_to_null
 from cohortwise.operators import clean, cohort, density, evaluate, folds, knn, moments, profile, quantiles, rank_tests, ranks, scale
+from cohortwise.sources.staging import stage
 from cohortwise.operators.features import CLINICAL_DERIVATIONS, derive
 from cohortwise.sources import gate, readers, sinks, synthetic
 from cohortwise.sources.staging import new_path, stage
@@ -264,6 +265,41 @@ def test_nearest_neighbours_hot_rows_survive_the_split(spark, monkeypatch):
     assert len(got) == 60 and set(got["b"][:30]) == {2.0} and got["b"][59] == pytest.approx(54.0)
 
 
+def test_rows_inside_their_cell_ask_no_other(spark, monkeypatch):
+    """Rows far from the walls of their cell are settled there, and the rest comes out as by hand."""
+    rng, kept = np.random.default_rng(2), {}
+    monkeypatch.setattr(knn, "stage", lambda df, name: kept.setdefault(name, stage(df, name)))
+    frame = pd.DataFrame({"k": range(3000), "a": rng.uniform(0, 1e3, 3000), "b": rng.uniform(0, 1e3, 3000), "c": rng.normal(0, 9, 3000)})
+    frame.loc[rng.random(3000) < 0.3, "c"] = np.nan
+    df = spark.createDataFrame(frame).withColumn("c", F.nanvl("c", F.lit(None)))
+    got = knn.impute_nearest(df, ["a", "b", "c"], 5, donor_rows=0, cell_rows=400).orderBy("k").toPandas()
+    holes = int(frame["c"].isna().sum())
+    asked = kept["home"].where("cell >= 0").select("row").distinct().count()
+    assert 0 < asked < 0.6 * holes
+    assert kept["home"].where("cell = -1").count() == holes - asked
+    assert np.allclose(got[["a", "b", "c"]].to_numpy(), _nearest_by_hand(frame, ["a", "b", "c"], 5))
+
+
+def test_nearest_neighbours_of_a_rare_column_a_lattice_and_a_row_that_shares_nothing(spark):
+    rng, n, names = np.random.default_rng(3), 300, ["a", "b", "c", "d"]
+    frame = pd.DataFrame({"k": range(n), "a": rng.integers(0, 4, n) * 1.0, "b": rng.integers(0, 300, n) * 1.0, "c": np.nan, "d": rng.normal(0, 5, n)})
+    frame.loc[[5, 90, 200], "c"] = [1.0, 2.0, 4.0]  # most cells hold none of them
+    frame.loc[rng.random(n) < 0.3, "d"] = np.nan
+    frame.loc[rng.random(n) < 0.3, "b"] = np.nan
+    frame.loc[[7, 8], names] = np.nan
+    df = spark.createDataFrame(frame).withColumns({c: F.nanvl(c, F.lit(None)) for c in names})
+    got = knn.impute_nearest(df, names, 2, donor_rows=0, cell_rows=20).orderBy("k").toPandas()[names].to_numpy()
+    assert np.allclose(got, _nearest_by_hand(frame, names, 2))
+
+
+def test_nearest_neighbours_of_infinite_readings(spark):
+    frame = pd.DataFrame({"k": range(6), "a": [1.0, 2.0, np.inf, np.inf, -np.inf, 3.0], "b": [5.0, 7.0, 9.0, None, None, None], "c": [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]})
+    df = spark.createDataFrame(frame).withColumn("b", F.nanvl("b", F.lit(None)))
+    for options in ({}, {"donor_rows": 0, "cell_rows": 2}):
+        got = knn.impute_nearest(df, ["a", "b", "c"], 1, **options).orderBy("k").toPandas()["b"].tolist()
+        assert got == [5.0, 7.0, 9.0, 9.0, 7.0, 7.0]  # the opposite infinity has no neighbour and gets the mean
+
+
 # --- profile and cohort ----------------------------------------------------------------------
 
 
