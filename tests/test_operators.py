@@ -303,6 +303,17 @@ def test_nearest_neighbours_of_infinite_readings(spark):
 # --- profile and cohort ----------------------------------------------------------------------
 
 
+def test_exact_cuts_read_the_hash_from_a_kept_column(spark, monkeypatch):
+    """The passes of the fit see a plain column, and nothing stays cached."""
+    plans, real = [], folds.fit_quantiles
+    monkeypatch.setattr(folds, "fit_quantiles", lambda df, specs, **o: plans.append(df.storageLevel.useMemory) or real(df, specs, **o))
+    df = spark.range(900).selectExpr("id", "CAST(id % 3 = 0 AS INT) AS y")
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    got = folds.stratified_folds(df, "id", "y", 3, 5, map_limit=0, pick_limit=20).groupBy("y", "fold").count().collect()
+    assert plans == [True] and sorted(r["count"] for r in got) == [100] * 3 + [200] * 3
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+
+
 def test_summary_of_degenerate_columns(spark):
     df = spark.sql("SELECT * FROM VALUES (1, CAST(NULL AS DOUBLE), 3D), (1, NULL, double('NaN')) t(c, n, x)")
     got = {r.feature: r for r in profile.summary_statistics(df, ["c", "n", "x"]).collect()}
