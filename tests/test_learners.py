@@ -3,8 +3,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cohortwise.learners import pipelines
 from cohortwise.learners.artifact import load_scorer, publish
-from cohortwise.learners.pipelines import Settings, candidates, fourier_columns, probability, support_vector
+from cohortwise.learners.pipelines import Settings, Shared, candidates, fourier_columns, probability, support_vector
 from cohortwise.learners.stacking import folded_table, keyed, leaderboard, out_of_fold, scores_table, stacking
 from cohortwise.operators.evaluate import roc_auc
 from cohortwise.operators.folds import stratified_folds
@@ -117,6 +118,36 @@ def test_fits_side_by_side_equal_fits_in_turn(table):
         assert abs(one[m.name].to_numpy() - many[m.name].to_numpy()).max() < 1e-6
 
 
+def test_fits_over_the_same_rows_share_what_they_fit(table, monkeypatch):
+    """Medians are fitted once per set of rows, and a stack takes the members already fitted to its rows."""
+    asked, real = [], pipelines.fit_median
+    monkeypatch.setattr(pipelines, "fit_median", lambda *a: asked.append(a) or real(*a))
+    settings = Settings(**{**vars(TINY), "learners": ("logistic_regression", "random_forest")})
+    learners = [*candidates(FEATURES, TARGET, settings).values(), stacking(FEATURES, TARGET, settings)]
+    folded = folded_table(keyed(table, KEY), KEY, TARGET, 2, 7)
+    together = scores_table(out_of_fold(folded, learners, 2, [KEY]), learners, [KEY])
+    assert len(asked) == 2 * (1 + settings.stacking_folds)
+    alone = None
+    for i in range(2):
+        held = folded.where(F.col("fold") == i)
+        for m in learners:
+            held = m.fit(folded.where(F.col("fold") != i)).transform(held).withColumnRenamed(m.output, f"held_{m.output}")
+        held = held.select(KEY, *[probability(f"held_{m.output}").alias(m.name) for m in learners])
+        alone = held if alone is None else alone.unionByName(held)
+    one, many = (d.toPandas().sort_values(KEY) for d in (alone, together))
+    assert len(one) == len(many) == 400
+    for m in learners:
+        assert abs(one[m.name].to_numpy() - many[m.name].to_numpy()).max() < 1e-9
+
+
+def test_what_fails_once_fails_for_all_that_share_it():
+    shared, made = Shared(), []
+    for _ in range(2):
+        with pytest.raises(ZeroDivisionError):
+            shared.once("medians", lambda: made.append(1) or 1 / 0)
+    assert made == [1] and shared.once("sizes", lambda: 3) == 3
+
+
 def test_kernel_margin_separates_rings_a_line_cannot(spark):
     draw = np.random.default_rng(7)
     y = np.arange(600) % 3 // 2
